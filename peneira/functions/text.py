@@ -6,6 +6,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -33,9 +35,4 @@ def standardise(c: Column | str) -> Column:
 
 def split_on(c: Column | str, separator: str) -> Column:
     """Split at a literal separator, keeping empty parts."""
-    return F.split(_column(c), rf"\Q{separator}\E")
-
-
-def tokens(c: Column | str) -> Column:
-    """The blank-separated words of each line of a text; empty words are kept."""
-    return F.flatten(F.transform(split_on(c, "\n"), lambda line: split_on(line, " ")))
+    return F.split(_column(c), re.escape(separator))

@@ -34,18 +34,31 @@ def co_group(
     hash. Equal values are counted before the shuffle, and a value repeated
     more than ``block_size`` times goes over several blocks too.
 
-    The frequent keys are looked up when this is called (one aggregate).
+    The frequent keys are looked up when this is called (one aggregate). Where
+    there are none, the values go through a single shuffle.
     """
     tagged = flatten([df.select("key", "value", F.lit(tag).alias("tag")) for tag, df in inputs.items()])
-    rows_per_run = F.struct(F.col("value"), F.col("times"))
-    lists = [
-        F.array_sort(F.collect_list(F.when(F.col("tag") == tag, rows_per_run))).alias(tag) for tag in inputs
-    ]
-    blocks = _with_block(_runs(tagged, block_size), tagged, block_size, spread_by)
-    return (
-        blocks.groupBy("key", "block")
-        .agg(*lists)
-        .select("key", "block", *[_expanded(tag).alias(tag) for tag in inputs])
+    frequent = _frequent_keys(tagged, block_size)
+    size = frequent.agg(
+        F.count("*").alias("keys"),
+        F.coalesce(F.sum(F.length(F.col("frequent_key").cast("string"))), F.lit(0)).alias("chars"),
+    ).first()
+    if size["keys"] == 0:
+        placed = tagged.withColumns({"times": F.lit(1), "block": F.lit(0).cast("long")})
+    else:
+        small = size["keys"] <= BROADCAST_KEYS and size["chars"] <= BROADCAST_CHARS
+        placed = _in_blocks(_runs(tagged, block_size), frequent, small, spread_by)
+    run = F.struct("value", "times")
+    lists = [F.array_sort(F.collect_list(F.when(F.col("tag") == tag, run))).alias(tag) for tag in inputs]
+    grouped = placed.groupBy("key", "block").agg(*lists)
+    return grouped.select("key", "block", *[_expanded(tag).alias(tag) for tag in inputs])
+
+
+def _frequent_keys(tagged: DataFrame, block_size: int) -> DataFrame:
+    """Keys with more values than a block takes, and how many blocks they need."""
+    counts = tagged.groupBy("key", "tag").agg(F.count("*").alias("n")).filter(F.col("n") > block_size)
+    return counts.groupBy(F.col("key").alias("frequent_key")).agg(
+        F.ceil(F.max("n") / block_size).alias("blocks")
     )
 
 
@@ -62,23 +75,7 @@ def _runs(tagged: DataFrame, block_size: int) -> DataFrame:
     )
 
 
-def _with_block(
-    runs: DataFrame, tagged: DataFrame, block_size: int, spread_by: Column | None
-) -> DataFrame:
-    frequent = (
-        tagged.groupBy("key", "tag")
-        .agg(F.count("*").alias("n"))
-        .filter(F.col("n") > block_size)
-        .groupBy(F.col("key").alias("frequent_key"))
-        .agg(F.ceil(F.max("n") / block_size).alias("blocks"))
-    )
-    size = frequent.agg(
-        F.count("*").alias("keys"),
-        F.coalesce(F.sum(F.length(F.col("frequent_key").cast("string"))), F.lit(0)).alias("chars"),
-    ).first()
-    if size["keys"] == 0:
-        return runs.withColumn("block", F.lit(0).cast("long"))
-    small = size["keys"] <= BROADCAST_KEYS and size["chars"] <= BROADCAST_CHARS
+def _in_blocks(runs: DataFrame, frequent: DataFrame, small: bool, spread_by: Column | None) -> DataFrame:
     joined = runs.join(
         F.broadcast(frequent) if small else frequent,
         F.col("key").eqNullSafe(F.col("frequent_key")),
@@ -87,11 +84,10 @@ def _with_block(
     place = F.xxhash64("value") if spread_by is None else F.coalesce(spread_by, F.lit(0))
     blocks = F.coalesce(F.col("blocks"), F.lit(1))
     # Modulo first: adding the run to a 64-bit hash could overflow.
-    numbered = joined.withColumn(
-        "block", F.pmod(F.pmod(place, blocks) + F.col("run"), blocks).cast("long")
-    ).drop("frequent_key", "blocks")
-    # The join by key leaves a key's rows in one place; spread its blocks again.
-    return numbered if small else numbered.repartition("key", "block")
+    block = F.pmod(F.pmod(place, blocks) + F.col("run"), blocks).cast("long")
+    placed = joined.withColumn("block", block).drop("frequent_key", "blocks", "run")
+    # A sort-merge join leaves all rows of a key in one place; spread its blocks again.
+    return placed if small else placed.repartition("key", "block")
 
 
 def _expanded(tag: str) -> Column:

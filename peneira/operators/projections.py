@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from peneira.functions.text import tokens
+from peneira.functions.text import split_on
 
 
 def rename(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
@@ -33,7 +33,8 @@ def explode_tokens(df: DataFrame, text: str, name: str = "token") -> DataFrame:
     Empty words, from blanks that follow each other or stand at an end, are
     kept. Other columns are not carried along, so the scan reads only ``text``.
     """
-    return df.select(F.explode(tokens(text)).alias(name))
+    lines = df.select(F.explode(split_on(text, "\n")).alias("line"))
+    return lines.select(F.explode(split_on("line", " ")).alias(name))
 
 
 def at(df: DataFrame, position: int) -> Column:

@@ -11,7 +11,6 @@ import functools
 from collections import namedtuple
 from collections.abc import Callable, Iterable, Iterator
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,19 +21,27 @@ OUTPUT_ROWS = 10_000
 HELD_KEYS = 100_000
 
 
-def map_values(fn: Callable, kind: str, *columns: Column | str) -> Column:
-    """``fn`` applied to each row's values, as a column of type ``kind``."""
+def map_values(fn: Callable, kind: str, *columns: Column | str, pinned: bool = False) -> Column:
+    """``fn`` applied to each row's values, as a column of type ``kind``.
 
-    @F.pandas_udf(kind)
-    def apply(*series: pd.Series) -> pd.Series:
-        return pd.Series([fn(*values) for values in zip(*series)], dtype=object)
+    ``pinned`` has it evaluated where it is written. Otherwise the optimizer
+    may move a filter on it ahead of an aggregate, to where there are more rows.
+    """
+    arrow_kind = _arrow(f"value {kind}").field(0).type
+
+    @F.arrow_udf(kind)
+    def apply(*arrays: pa.Array) -> pa.Array:
+        rows = zip(*(array.to_pylist() for array in arrays))
+        return pa.array([fn(*values) for values in rows], type=arrow_kind)
 
-    return apply(*columns)
+    return (apply.asNondeterministic() if pinned else apply)(*columns)
 
 
-def keep_if(df: DataFrame, predicate: Callable, *columns: str) -> DataFrame:
+def keep_if(df: DataFrame, predicate: Callable, *columns: str, pinned: bool = False) -> DataFrame:
     """Rows for which ``predicate`` is true; returning nothing counts as false."""
-    return df.filter(map_values(lambda *values: bool(predicate(*values)), "boolean", *columns))
+    return df.filter(
+        map_values(lambda *values: bool(predicate(*values)), "boolean", *columns, pinned=pinned)
+    )
 
 
 def for_each_record(df: DataFrame, process: Callable, schema: StructType | str) -> DataFrame:
@@ -44,7 +51,7 @@ def for_each_record(df: DataFrame, process: Callable, schema: StructType | str)
     iterable of tuples in the order of ``schema``, or nothing for no records.
     """
     return df.mapInArrow(
-        functools.partial(_process_records, process=process, schema=_arrow(df, schema)), schema
+        functools.partial(_process_records, process=process, schema=_arrow(schema)), schema
     )
 
 
@@ -72,7 +79,7 @@ def combine_per_key(df: DataFrame, key: str, value: str, combiner: Callable[[Ite
     return gathered.mapInArrow(functools.partial(_combine, combiner=combiner, by_key=True), schema)
 
 
-def _arrow(df: DataFrame, schema: StructType | str) -> pa.Schema:
+def _arrow(schema: StructType | str) -> pa.Schema:
     if isinstance(schema, str):
         schema = StructType.fromDDL(schema)
     return to_arrow_schema(StructType([StructField(f.name, f.dataType, True) for f in schema]))

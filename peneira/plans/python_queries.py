@@ -34,7 +34,7 @@ def udf_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     # The predicate looks at the word alone, so each distinct word is asked once.
     words = explode_tokens(table(spark, sf_dir, "documents"), "text")
     counted = words.groupBy("token").agg(F.count("*").alias("n"))
-    return keep_if(counted, _is_listed, "token")
+    return keep_if(counted, _is_listed, "token", pinned=True)
 
 
 def _words(text: str) -> Iterable[str]:

@@ -41,9 +41,15 @@ def src_skip_header(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     path = new_folder(spark, "skip-header")
     write_csv(orders, path, header=True)
-    fields = split_fields("value", ",", orders.columns)
-    rows = read_lines(spark, path, skip=1).select(*fields)
-    return rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in orders.schema])
+    return read_csv(spark, path, header=True, schema=orders.schema)
+
+
+@query("S02", "SELECT CAST(o_orderkey AS VARCHAR) || ',' || o_orderpriority AS value FROM orders")
+def src_skip_first_line(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
+    path = new_folder(spark, "skip-first-line")
+    write_csv(orders, path, header=True)
+    return read_lines(spark, path, skip=1)
 
 
 @query("S03", "SELECT o_orderkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders")
@@ -114,7 +120,7 @@ def _write_with_preamble(df: DataFrame, path: str, preamble: str, sep: str) -> N
 
 @query(
     "S08",
-    """SELECT s_suppkey AS _c0, s_name AS _c1, s_nationkey AS _c2, s_acctbal AS _c3 FROM supplier""",
+    """SELECT CAST(s_suppkey AS INTEGER) AS _c0, s_name AS _c1, s_nationkey AS _c2, s_acctbal AS _c3 FROM supplier""",
 )
 def src_csv_noheader(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_folder(spark, "csv-noheader")

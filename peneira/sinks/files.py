@@ -7,6 +7,14 @@ from pyspark.sql import functions as F
 
 from peneira.sources.delimited import QUOTING
 
+# Spark writes milliseconds to CSV and JSON unless told otherwise.
+MICROSECONDS = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+# And cuts the blanks off the ends of text in CSV.
+KEEP_BLANKS = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
 
 def write_text(df: DataFrame, path: str, sep: str = ",", compression: str | None = None) -> None:
     """One line per row: the columns as text, joined by ``sep``; null is empty."""
@@ -24,13 +32,18 @@ def write_csv(
     compression: str | None = None,
     **options: object,
 ) -> None:
-    writer = df.write.mode("overwrite").options(header=header, sep=sep, **{**QUOTING, **options})
+    """Delimited files. CSV does not tell empty text from null: both read as null."""
+    settings = {**MICROSECONDS, **KEEP_BLANKS, **QUOTING, **options}
+    if len(df.columns) == 1:
+        # A null alone on its line would be an empty line, which Spark leaves out.
+        settings.setdefault("nullValue", '""')
+    writer = df.write.mode("overwrite").options(header=header, sep=sep, **settings)
     (writer if compression is None else writer.option("compression", compression)).csv(path)
 
 
 def write_json(df: DataFrame, path: str, compression: str | None = None) -> None:
     """JSON lines. Null fields are left out, so read back with a schema."""
-    writer = df.write.mode("overwrite")
+    writer = df.write.mode("overwrite").options(**MICROSECONDS)
     (writer if compression is None else writer.option("compression", compression)).json(path)
 
 

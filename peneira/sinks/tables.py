@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +11,8 @@ from pyspark.sql import functions as F
 
 from peneira.operators.combine import flatten
 
+CONCURRENT_LOADS = 4
+
 
 def save_table(df: DataFrame, name: str, schema_location: str | None = None) -> DataFrame:
     """Replace the managed table ``schema.table`` and return a scan of it.
@@ -18,13 +21,16 @@ def save_table(df: DataFrame, name: str, schema_location: str | None = None) ->
     in the session's warehouse. A table cannot replace itself while it is read:
     write to another name first.
     """
-    spark = df.sparkSession
-    schema, _, table = name.rpartition(".")
+    schema, _, _ = name.rpartition(".")
     if schema:
-        place = f" LOCATION '{schema_location}'" if schema_location else ""
-        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}{place}")
+        _make_schema(df.sparkSession, schema, schema_location)
     df.write.mode("overwrite").saveAsTable(name)
-    return spark.table(name)
+    return df.sparkSession.table(name)
+
+
+def _make_schema(spark: SparkSession, schema: str, location: str | None) -> None:
+    place = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}{place}")
 
 
 def register_view(df: DataFrame, name: str) -> DataFrame:
@@ -54,15 +60,16 @@ def bulk_load(
     The report has one row per table: ``table_name``, ``n_rows``, ``n_columns``.
     Rows are counted from the tables as written.
     """
-    reports = []
-    for entity, spec in specs.items():
+
+    def load(entity: str) -> DataFrame:
+        spec = specs[entity]
         raw = spark.read.format(spec.format).schema(spec.schema).options(**spec.options).load(spec.path)
-        table = save_table(raw, f"{schema}.{entity}", schema_location)
-        reports.append(
-            table.agg(F.count("*").alias("n_rows")).select(
-                F.lit(entity).alias("table_name"),
-                "n_rows",
-                F.lit(len(table.columns)).alias("n_columns"),
-            )
+        table = save_table(raw, f"{schema}.{entity}")
+        return table.agg(F.count("*").alias("n_rows")).select(
+            F.lit(entity).alias("table_name"), "n_rows", F.lit(len(table.columns)).alias("n_columns")
         )
-    return flatten(reports)
+
+    _make_schema(spark, schema, schema_location)
+    # Small tables load while the last tasks of a large one still run.
+    with ThreadPoolExecutor(CONCURRENT_LOADS) as pool:
+        return flatten(list(pool.map(load, specs)))

@@ -27,14 +27,17 @@ def read_csv(
     ``header`` has no default: taking the first line for a header, or not, by
     guess loses or invents a row. The header is dropped once per file. Without
     ``schema`` Spark reads the data once more to infer the types, and names the
-    columns ``_c0``, ``_c1``, … if there is no header. Text with line breaks
-    inside quotes needs ``multiLine=True``, which makes each file one task.
-    Compressed files are recognised by their ending.
+    columns ``_c0``, ``_c1``, … if there is no header. With both, a header that
+    does not name the schema's columns in order is an error. Compressed files
+    are recognised by their ending.
+
+    Text with line breaks inside quotes needs ``multiLine=True``, which makes
+    each file one task, and ``lineSep="\\n"`` if its carriage returns are to stay.
     """
     reader = spark.read.options(header=header, sep=sep, **{**QUOTING, **options})
     if schema is None:
         return reader.option("inferSchema", True).csv(path)
-    return reader.schema(schema).option("enforceSchema", True).csv(path)
+    return reader.schema(schema).option("enforceSchema", not header).csv(path)
 
 
 def read_csv_with_preamble(

@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,29 +39,28 @@ def _without_first_lines(lines: DataFrame, skip: int) -> DataFrame:
 
 
 def _drop_heads(batches: Iterator[pa.RecordBatch], skip: int) -> Iterator[pa.RecordBatch]:
-    path, seen, goes_on = None, 0, False  # the file whose first split is being read
+    path, seen, goes_on = "", 0, False  # the file whose first split is being read; "" for none
 
     def check() -> None:
-        if path is not None and goes_on and seen < skip:
+        if path and goes_on and seen < skip:
             raise ValueError(f"the first split of {path} holds only {seen} of the {skip} lines to skip")
 
     for batch in batches:
-        if batch.num_rows == 0:
+        lines = batch.select(["value"])
+        if lines.num_rows == 0:
             continue
-        heads = batch.column("head_of")
-        codes = heads.dictionary_encode()
-        ids = codes.indices.fill_null(-1).to_numpy(zero_copy_only=False)
-        starts = np.flatnonzero(np.diff(ids, prepend=ids[0] - 1))
-        ends = np.append(starts[1:], len(ids))
-        keep = np.ones(len(ids), dtype=bool)
-        for start, end in zip(starts, ends):
-            this = None if ids[start] < 0 else codes.dictionary[ids[start]].as_py()
+        heads = batch.column("head_of").fill_null("")
+        changes = pc.not_equal(heads.slice(1), heads.slice(0, len(heads) - 1))
+        starts = [0, *(np.flatnonzero(changes.to_numpy(zero_copy_only=False)) + 1).tolist()]
+        keep = None
+        for start, end in zip(starts, [*starts[1:], len(heads)]):
+            this = heads[start].as_py()
             if this != path:
                 check()
-                path, seen = this, 0
-            if path is not None:
-                keep[start : min(end, start + max(skip - seen, 0))] = False
-                seen += int(end - start)
-                goes_on = batch.column("goes_on")[int(start)].as_py()
-        yield batch.select(["value"]) if keep.all() else batch.select(["value"]).filter(pa.array(keep))
+                path, seen, goes_on = this, 0, batch.column("goes_on")[start].as_py()
+            if path and seen < skip:
+                keep = np.ones(len(heads), dtype=bool) if keep is None else keep
+                keep[start : min(end, start + skip - seen)] = False
+            seen += end - start
+        yield lines if keep is None else lines.filter(pa.array(keep))
     check()

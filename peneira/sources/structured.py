@@ -6,18 +6,27 @@ import functools
 import operator
 from collections.abc import Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 INLINE_LIMIT = 100_000
 
 
 def inline_rows(spark: SparkSession, rows: Sequence[tuple], schema: StructType | str) -> DataFrame:
-    """Rows written in the program, such as a lookup list. Not for data sets."""
+    """Rows written in the program, such as a lookup list. Not for data sets.
+
+    They become part of the plan, so Spark knows their size when it joins them.
+    """
     if len(rows) > INLINE_LIMIT:
         raise ValueError(f"{len(rows)} inline rows: write them to a file and read that")
-    return spark.createDataFrame(rows, schema)
+    fields = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    columns = zip(*rows) if rows else ([] for _ in fields)
+    arrow = to_arrow_schema(fields)
+    arrays = [pa.array(list(values), type=kind) for values, kind in zip(columns, arrow.types)]
+    return spark.createDataFrame(pa.Table.from_arrays(arrays, schema=arrow), fields)
 
 
 def read_json(
