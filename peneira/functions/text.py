@@ -21,8 +21,14 @@ def _column(c: Column | str) -> Column:
 
 
 def strip_accents(c: Column | str) -> Column:
-    """Replace lower-case accented letters; capitals are left as they are."""
-    return F.translate(_column(c), ACCENTED, PLAIN)
+    """Replace lower-case accented letters; capitals are left as they are.
+
+    Text with as many bytes as characters has no accents and is passed on as it
+    is, which is much faster than looking up each of its characters.
+    """
+    text = _column(c)
+    plain = F.octet_length(text) == F.char_length(text)
+    return F.when(plain, text).otherwise(F.translate(text, ACCENTED, PLAIN))
 
 
 def standardise(c: Column | str) -> Column:
