@@ -67,5 +67,5 @@ def keep_listed(df: DataFrame, name: str, values: Sequence) -> DataFrame:
     if len(values) <= SHORT_LIST:
         return df.filter(F.col(name).isin(values))
     kind = df.schema[name].dataType.simpleString()
-    listed = inline_rows(df.sparkSession, [(value,) for value in values], f"`{name}` {kind}")
-    return df.join(listed, name, "left_semi")
+    listed = inline_rows(df.sparkSession, [(value,) for value in values], f"listed {kind}")
+    return df.join(listed, F.col(f"`{name}`") == F.col("listed"), "left_semi")

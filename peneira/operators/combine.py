@@ -8,6 +8,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from peneira.workspace import new_folder
+
 BLOCK_SIZE = 10_000
 BROADCAST_KEYS = 100_000
 BROADCAST_CHARS = 50_000_000
@@ -19,7 +21,9 @@ def flatten(parts: Sequence[DataFrame]) -> DataFrame:
 
 
 def co_group(
-    inputs: Mapping[str, DataFrame], block_size: int = BLOCK_SIZE, spread_by: Column | None = None
+    inputs: Mapping[str, DataFrame],
+    block_size: int | None = BLOCK_SIZE,
+    spread_by: Column | None = None,
 ) -> DataFrame:
     """Bring the values of several ``key``/``value`` DataFrames together by key.
 
@@ -34,20 +38,15 @@ def co_group(
     hash. Equal values are counted before the shuffle, and a value repeated
     more than ``block_size`` times goes over several blocks too.
 
-    The frequent keys are looked up when this is called (one aggregate). Where
-    there are none, the values go through a single shuffle.
+    The frequent keys are looked up when this is called: one aggregate, stored
+    in the shared folder. Where there are none, the values go through a single
+    shuffle. ``block_size=None`` leaves the look-up out; that is for inputs
+    which are aggregates by the key already, with one value each.
     """
     tagged = flatten([df.select("key", "value", F.lit(tag).alias("tag")) for tag, df in inputs.items()])
-    frequent = _frequent_keys(tagged, block_size)
-    size = frequent.agg(
-        F.count("*").alias("keys"),
-        F.coalesce(F.sum(F.length(F.col("frequent_key").cast("string"))), F.lit(0)).alias("chars"),
-    ).first()
-    if size["keys"] == 0:
+    placed = None if block_size is None else _in_blocks(tagged, block_size, spread_by)
+    if placed is None:
         placed = tagged.withColumns({"times": F.lit(1), "block": F.lit(0).cast("long")})
-    else:
-        small = size["keys"] <= BROADCAST_KEYS and size["chars"] <= BROADCAST_CHARS
-        placed = _in_blocks(_runs(tagged, block_size), frequent, small, spread_by)
     run = F.struct("value", "times")
     lists = [F.array_sort(F.collect_list(F.when(F.col("tag") == tag, run))).alias(tag) for tag in inputs]
     grouped = placed.groupBy("key", "block").agg(*lists)
@@ -57,9 +56,12 @@ def co_group(
 def _frequent_keys(tagged: DataFrame, block_size: int) -> DataFrame:
     """Keys with more values than a block takes, and how many blocks they need."""
     counts = tagged.groupBy("key", "tag").agg(F.count("*").alias("n")).filter(F.col("n") > block_size)
-    return counts.groupBy(F.col("key").alias("frequent_key")).agg(
+    frequent = counts.groupBy(F.col("key").alias("frequent_key")).agg(
         F.ceil(F.max("n") / block_size).alias("blocks")
     )
+    folder = new_folder(tagged.sparkSession, "frequent-keys")
+    frequent.write.parquet(folder)
+    return tagged.sparkSession.read.schema(frequent.schema).parquet(folder)
 
 
 def _runs(tagged: DataFrame, block_size: int) -> DataFrame:
@@ -75,8 +77,17 @@ def _runs(tagged: DataFrame, block_size: int) -> DataFrame:
     )
 
 
-def _in_blocks(runs: DataFrame, frequent: DataFrame, small: bool, spread_by: Column | None) -> DataFrame:
-    joined = runs.join(
+def _in_blocks(tagged: DataFrame, block_size: int, spread_by: Column | None) -> DataFrame | None:
+    """Counted runs of equal values and their block; None if every key fits one."""
+    frequent = _frequent_keys(tagged, block_size)
+    size = frequent.agg(
+        F.count("*").alias("keys"),
+        F.coalesce(F.sum(F.length(F.col("frequent_key").cast("string"))), F.lit(0)).alias("chars"),
+    ).first()
+    if size["keys"] == 0:
+        return None
+    small = size["keys"] <= BROADCAST_KEYS and size["chars"] <= BROADCAST_CHARS
+    joined = _runs(tagged, block_size).join(
         F.broadcast(frequent) if small else frequent,
         F.col("key").eqNullSafe(F.col("frequent_key")),
         "left",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import time
 from collections.abc import Callable
 
@@ -41,49 +42,38 @@ def table_profile(df: DataFrame, exact: bool = False) -> DataFrame:
 
 
 def compare_formats(df: DataFrame, folder: str) -> DataFrame:
-    """Write ``df`` as JSON, CSV and Parquet, plain and gzip; measure each.
+    """Write ``df`` as Parquet, CSV and JSON, plain and gzip; measure each.
 
     The result has, per format, the files, their bytes and the seconds of a
-    write and of a scan of all rows and columns.
+    write and of a scan of all rows and columns. ``df`` is computed once, for
+    the plain Parquet files; the others are written from those.
     """
     spark, schema = df.sparkSession, df.schema
     write: dict[str, Callable] = {
-        "json": write_json,
-        "csv": lambda rows, path, compression=None: write_csv(
-            rows, path, header=True, compression=compression
-        ),
         "parquet": write_parquet,
+        "csv": functools.partial(write_csv, header=True),
+        "json": write_json,
     }
     read: dict[str, Callable] = {
-        "json": lambda path: read_json(spark, path, schema),
-        "csv": lambda path: read_csv(spark, path, header=True, schema=schema),
-        "parquet": lambda path: read_parquet(spark, path),
+        "parquet": read_parquet,
+        "csv": functools.partial(read_csv, header=True, schema=schema),
+        "json": functools.partial(read_json, schema=schema),
     }
-    measured = []
+    rows, measured = df, []
     for name in write:
         for compression in (None, "gzip"):
             path = f"{folder}/{name}-{compression or 'default'}"
             started = time.perf_counter()
-            write[name](df, path, compression=compression)
+            write[name](rows, path, compression=compression)
             written = time.perf_counter()
-            read[name](path).write.format("noop").mode("overwrite").save()
+            copy = read[name](spark, path)
+            copy.write.format("noop").mode("overwrite").save()
             scanned = time.perf_counter()
-            files = (
-                spark.read.format("binaryFile")
-                .load(path)
-                .agg(F.count("*").alias("files"), F.sum("length").alias("bytes"))
-                .first()
-            )
-            measured.append(
-                (
-                    name,
-                    compression or "default",
-                    files["files"],
-                    files["bytes"],
-                    written - started,
-                    scanned - written,
-                )
-            )
+            rows = copy if rows is df else rows
+            files = spark.read.format("binaryFile").load(path)
+            size = files.agg(F.count("*").alias("files"), F.sum("length").alias("bytes")).first()
+            seconds = (written - started, scanned - written)
+            measured.append((name, compression or "default", size["files"], size["bytes"], *seconds))
     return inline_rows(
         spark,
         measured,

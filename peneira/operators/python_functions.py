@@ -19,6 +19,7 @@ from pyspark.sql.types import StructField, StructType
 
 OUTPUT_ROWS = 10_000
 HELD_KEYS = 100_000
+NATIVE = {"sum": F.sum, "min": F.min, "max": F.max}
 
 
 def map_values(fn: Callable, kind: str, *columns: Column | str, pinned: bool = False) -> Column:
@@ -62,9 +63,13 @@ def flat_map(df: DataFrame, fn: Callable[..., Iterable], column: str, name: str,
     )
 
 
-def combine_per_key(df: DataFrame, key: str, value: str, combiner: Callable[[Iterable], object]) -> DataFrame:
+def combine_per_key(
+    df: DataFrame, key: str, value: str, combiner: Callable[[Iterable], object] | str
+) -> DataFrame:
     """Reduce the values of each key with ``combiner``, e.g. Python's ``sum``.
 
+    A name out of ``NATIVE``, such as ``"sum"``, takes Spark's own aggregate.
+
     ``combiner`` turns several values into one of the same type; the order and
     grouping in which it meets them must not matter. It runs once over the
     values within each task, and again over those partial results, so a
@@ -72,6 +77,8 @@ def combine_per_key(df: DataFrame, key: str, value: str, combiner: Callable[[Ite
     whole.
     """
     pairs = df.select(key, value)
+    if isinstance(combiner, str):
+        return pairs.groupBy(key).agg(NATIVE[combiner](value).alias(value))
     schema = pairs.schema
     partial = pairs.mapInArrow(functools.partial(_combine, combiner=combiner, by_key=False), schema)
     # Sorted by key, the partial results of a key follow each other.

@@ -58,7 +58,7 @@ def cmb_cogroup_aggregates(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     counts = returned.groupBy("key").agg(F.count("*").cast("double").alias("value"))
     sums = returned.groupBy("key").agg(F.sum("value").alias("value"))
-    grouped = co_group({"counts": counts, "sums": sums})
+    grouped = co_group({"counts": counts, "sums": sums}, block_size=None)
     return grouped.select(
         F.col("key").alias("suppkey"),
         F.get("counts", F.lit(0)).cast("long").alias("n_lines"),

@@ -91,10 +91,14 @@ def flt_in_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.groupBy("token").agg(F.count("*").alias("n"))
 
 
-@query("F09", "SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey % 3 = 0 AND o_custkey < 6000")
+@query(
+    "F09",
+    """SELECT c_custkey, c_name FROM customer WHERE c_name IN (
+  SELECT 'Customer#' || lpad(CAST(i AS VARCHAR), 9, '0') FROM range(400, 2400) AS listed(i))""",
+)
 def flt_in_long_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    return keep_listed(orders, "o_custkey", list(range(0, 6000, 3))).select("o_orderkey", "o_custkey")
+    listed = [f"Customer#{i:09d}" for i in range(400, 2400)]
+    return keep_listed(table(spark, sf_dir, "customer").select("c_custkey", "c_name"), "c_name", listed)
 
 
 @query("F10", "SELECT p_partkey, p_name FROM part WHERE p_name LIKE '%ed%'")

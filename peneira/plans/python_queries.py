@@ -73,3 +73,8 @@ def udf_pardo(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("V05", "SELECT l_suppkey, sum(l_quantity) AS l_quantity FROM lineitem GROUP BY l_suppkey")
 def udf_combine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return combine_per_key(table(spark, sf_dir, "lineitem"), "l_suppkey", "l_quantity", sum)
+
+
+@query("V05", "SELECT l_suppkey, sum(l_quantity) AS l_quantity FROM lineitem GROUP BY l_suppkey")
+def udf_combine_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return combine_per_key(table(spark, sf_dir, "lineitem"), "l_suppkey", "l_quantity", "sum")

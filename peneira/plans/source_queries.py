@@ -100,13 +100,7 @@ def src_csv_preamble(spark: SparkSession, sf_dir: str) -> DataFrame:
     customers = table(spark, sf_dir, "customer")
     path = new_folder(spark, "csv-preamble")
     _write_with_preamble(customers, path, "Updated: 2024-01-01", ";")
-    return read_csv_with_preamble(
-        spark,
-        path,
-        "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
-        preamble=1,
-        sep=";",
-    )
+    return read_csv_with_preamble(spark, path, customers.schema, preamble=1, sep=";")
 
 
 def _write_with_preamble(df: DataFrame, path: str, preamble: str, sep: str) -> None:

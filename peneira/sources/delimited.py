@@ -43,7 +43,7 @@ def read_csv(
 def read_csv_with_preamble(
     spark: SparkSession,
     path: str | list[str],
-    schema: str,
+    schema: StructType | str,
     *,
     preamble: int,
     header: bool = True,
@@ -57,7 +57,7 @@ def read_csv_with_preamble(
     """
     lines = read_lines(spark, path, skip=preamble + int(header))
     settings = {key: str(value) for key, value in {"sep": sep, **QUOTING, **options}.items()}
-    record = F.from_csv("value", schema, settings)
+    record = F.from_csv("value", schema if isinstance(schema, str) else schema.toDDL(), settings)
     return lines.filter(F.trim("value") != "").select(record.alias("record")).select("record.*")
 
 

@@ -64,8 +64,8 @@ def read_partition(
     The filter is on the partition columns, so only the matching folders are
     listed and read, and the columns stay in the result.
     """
-    wanted = functools.reduce(operator.and_, (F.col(name) == value for name, value in values.items()))
-    return read_parquet(spark, root, schema).filter(wanted)
+    wanted = (F.col(c).isNull() if value is None else F.col(c) == value for c, value in values.items())
+    return read_parquet(spark, root, schema).filter(functools.reduce(operator.and_, wanted))
 
 
 def spread(df: DataFrame, *columns: str) -> DataFrame:

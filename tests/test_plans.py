@@ -88,6 +88,7 @@ def test_co_group_without_frequent_keys_shuffles_once(spark, sf_dir):
         tag: key_value(orders.filter(F.col("o_orderstatus") == tag), "o_custkey", "o_orderkey") for tag in "OF"
     }
     assert count(co_group(inputs), "Exchange hashpartitioning") == 1
+    assert count(co_group(inputs, block_size=None), "Exchange hashpartitioning") == 1
 
 
 def test_co_group_blocks_are_shuffled_apart(spark, sf_dir, monkeypatch):
