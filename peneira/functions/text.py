@@ -20,15 +20,16 @@ def _column(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def strip_accents(c: Column | str) -> Column:
-    """Replace lower-case accented letters; capitals are left as they are.
-
-    Text with as many bytes as characters has no accents and is passed on as it
-    is, which is much faster than looking up each of its characters.
-    """
-    text = _column(c)
+def _without_accents(text: Column, cased: Column) -> Column:
+    # Text with as many bytes as characters has no accents and is passed on as
+    # it is, which is much faster than looking up each of its characters.
     plain = F.octet_length(text) == F.char_length(text)
-    return F.when(plain, text).otherwise(F.translate(text, ACCENTED, PLAIN))
+    return F.when(plain, cased).otherwise(F.translate(cased, ACCENTED, PLAIN))
+
+
+def strip_accents(c: Column | str) -> Column:
+    """Replace lower-case accented letters; capitals are left as they are."""
+    return _without_accents(_column(c), _column(c))
 
 
 def standardise(c: Column | str) -> Column:
@@ -36,7 +37,8 @@ def standardise(c: Column | str) -> Column:
 
     Lower case comes first, or capital accented letters would keep their accent.
     """
-    return F.trim(strip_accents(F.lower(_column(c))))
+    text = _column(c)
+    return F.trim(_without_accents(text, F.lower(text)))
 
 
 def split_on(c: Column | str, separator: str) -> Column:

@@ -92,16 +92,12 @@ UNION ALL
 SELECT p_partkey, 'name', TRY_CAST(string_split(p_name, ' ')[-1] AS INTEGER) FROM part""",
 )
 def prj_cast_int(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parts = table(spark, sf_dir, "part")
     ends = [
-        parts.select(
-            F.col("p_partkey").alias("id"),
-            F.lit(kind).alias("kind"),
-            F.element_at(split_on(source, sep), -1).alias("parsed"),
-        )
+        F.struct(F.lit(kind).alias("kind"), F.element_at(split_on(source, sep), -1).alias("parsed"))
         for kind, source, sep in [("brand", "p_brand", "#"), ("name", "p_name", " ")]
     ]
-    converted, _ = cast_with_rejects(ends[0].unionByName(ends[1]), "parsed", "int")
+    texts = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), F.inline(F.array(*ends)))
+    converted, _ = cast_with_rejects(texts, "parsed", "int")
     return converted
 
 

@@ -159,7 +159,7 @@ def job_bulk_load(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows = table(spark, sf_dir, name)
         write_csv(rows, f"{raw}/{name}", header=True)
         ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
-        specs[name] = TableSpec(f"{raw}/{name}", ddl, options={"header": True, "escape": '"'})
+        specs[name] = TableSpec(f"{raw}/{name}", ddl, options={"header": True})
     schema, _ = new_schema(spark)
     schema = f"{schema}_{uuid.uuid4().hex[:12]}"
     return bulk_load(spark, specs, schema, new_folder(spark, "loaded"))

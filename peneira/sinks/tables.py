@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from peneira.operators.combine import flatten
+from peneira.sources.delimited import QUOTING
 
 CONCURRENT_LOADS = 4
 
@@ -63,7 +64,8 @@ def bulk_load(
 
     def load(entity: str) -> DataFrame:
         spec = specs[entity]
-        raw = spark.read.format(spec.format).schema(spec.schema).options(**spec.options).load(spec.path)
+        options = {**(QUOTING if spec.format == "csv" else {}), **spec.options}
+        raw = spark.read.format(spec.format).schema(spec.schema).options(**options).load(spec.path)
         table = save_table(raw, f"{schema}.{entity}")
         return table.agg(F.count("*").alias("n_rows")).select(
             F.lit(entity).alias("table_name"), "n_rows", F.lit(len(table.columns)).alias("n_columns")

@@ -18,7 +18,7 @@ def read_lines(spark: SparkSession, path: str | list[str], skip: int = 0) -> Dat
     ``skip`` leaves out that many lines at the start of *each file*.
     """
     lines = spark.read.text(path)
-    return lines if skip == 0 else _without_first_lines(lines, skip)
+    return lines.select("value") if skip == 0 else _without_first_lines(lines, skip)
 
 
 def _without_first_lines(lines: DataFrame, skip: int) -> DataFrame:

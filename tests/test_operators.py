@@ -6,6 +6,8 @@ import random
 from collections import defaultdict
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from peneira.functions.predicates import (
@@ -19,7 +21,7 @@ from peneira.functions.predicates import (
     half_open,
     keep_listed,
 )
-from peneira.functions.text import split_on, standardise, strip_accents
+from peneira.functions.text import ACCENTED, PLAIN, split_on, standardise, strip_accents
 from peneira.operators.aggregates import (
     count_per_key,
     count_where,
@@ -207,8 +209,25 @@ def test_co_group_with_a_frequent_key(spark, monkeypatch, block_size, broadcast)
         assert blocks["hot"] >= 0.6 * most / block_size
 
 
+def test_co_group_without_look_up(spark):
+    a = inline_rows(spark, [("x", 2), ("x", 1), ("x", 2), (None, None)], "key string, value long")
+    b = inline_rows(spark, [("y", 5)], "key string, value long")
+    assert values(co_group({"a": a, "b": b}, block_size=None)) == sorted(
+        [("x", 0, [1, 2, 2], []), (None, 0, [None], []), ("y", 0, [], [5])], key=repr
+    )
+
+
 def test_co_group_of_many_frequent_values_stays_in_bounded_blocks(spark):
     rows = spark.range(20_000).select(F.lit(1).alias("key"), F.col("id").alias("value"))
     grouped = co_group({"a": rows}, block_size=500, spread_by=F.col("value"))
     sizes = [len(r["a"]) for r in grouped.collect()]
     assert sizes == [500] * 40
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(texts=st.lists(st.text(st.sampled_from("aA zZ\t9áÁçÇñßÀé日")), min_size=1, max_size=60))
+def test_plain_text_shortcut_changes_nothing(spark, texts):
+    df = words(spark, *texts)
+    looked_up = F.trim(F.translate(F.lower("t"), ACCENTED, PLAIN))
+    assert df.filter(~standardise("t").eqNullSafe(looked_up)).count() == 0
+    assert df.filter(~strip_accents("t").eqNullSafe(F.translate("t", ACCENTED, PLAIN))).count() == 0
