@@ -57,15 +57,19 @@ def equals_standardised(name: str, value: str) -> Column:
     return standardise(name) == standardise(F.lit(value))
 
 
-def keep_listed(df: DataFrame, name: str, values: Sequence) -> DataFrame:
+def keep_listed(df: DataFrame, name: str, values: Sequence | DataFrame) -> DataFrame:
     """Rows whose ``name`` is in the list.
 
-    A short list becomes a set test inside the scan's filter. A longer one
-    becomes a semi join; Spark picks its strategy from the list's size.
+    A short list becomes a set test inside the scan's filter. A longer one, or
+    one given as a DataFrame of one column, becomes a semi join; Spark picks its
+    strategy from the list's size.
     """
-    values = list(dict.fromkeys(values))
-    if len(values) <= SHORT_LIST:
-        return df.filter(F.col(name).isin(values))
-    kind = df.schema[name].dataType.simpleString()
-    listed = inline_rows(df.sparkSession, [(value,) for value in values], f"listed {kind}")
+    if isinstance(values, DataFrame):
+        listed = values.toDF("listed")
+    else:
+        values = list(dict.fromkeys(values))
+        if len(values) <= SHORT_LIST:
+            return df.filter(F.col(name).isin(values))
+        kind = df.schema[name].dataType.simpleString()
+        listed = inline_rows(df.sparkSession, [(value,) for value in values], f"listed {kind}")
     return df.join(listed, F.col(f"`{name}`") == F.col("listed"), "left_semi")

@@ -54,8 +54,10 @@ def padded_sql(text: str, key: str) -> str:
 
 
 # One row per line, and per blank-separated word of each line, of the documents.
-LINES = """WITH lines AS (
-  SELECT unnest(string_split(text, chr(10))) AS line FROM documents)
+LINES = """WITH ends AS (
+  SELECT unnest(string_split(text, chr(10))) AS line FROM documents),
+lines AS (
+  SELECT CASE WHEN ends_with(line, chr(13)) THEN left(line, -1) ELSE line END AS line FROM ends)
 """
 TOKENS = """WITH lines AS (
   SELECT unnest(string_split(text, chr(10))) AS line FROM documents),

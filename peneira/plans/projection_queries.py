@@ -54,7 +54,7 @@ def prj_rename(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("P05", "SELECT l_suppkey AS key, CAST(l_quantity AS INTEGER) AS value FROM lineitem")
+@query("P05", "SELECT l_suppkey AS key, CAST(trunc(l_quantity) AS INTEGER) AS value FROM lineitem")
 def prj_key_value(spark: SparkSession, sf_dir: str) -> DataFrame:
     return key_value(table(spark, sf_dir, "lineitem"), "l_suppkey", F.col("l_quantity").cast("int"))
 

@@ -15,10 +15,14 @@ from pyspark.sql import functions as F
 def read_lines(spark: SparkSession, path: str | list[str], skip: int = 0) -> DataFrame:
     """One row per line in column ``value``; line ends are removed, blanks kept.
 
-    ``skip`` leaves out that many lines at the start of *each file*.
+    A line ends with a line feed, or a carriage return and a line feed. ``skip``
+    leaves out that many lines at the start of *each file*.
     """
-    lines = spark.read.text(path)
-    return lines.select("value") if skip == 0 else _without_first_lines(lines, skip)
+    lines = spark.read.option("lineSep", "\n").text(path)
+    rows = lines if skip == 0 else _without_first_lines(lines, skip)
+    line = F.col("value")
+    cut = F.when(line.endswith("\r"), F.substring(line, F.lit(1), F.length(line) - 1)).otherwise(line)
+    return rows.select(cut.alias("value"))
 
 
 def _without_first_lines(lines: DataFrame, skip: int) -> DataFrame:

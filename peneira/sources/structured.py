@@ -21,7 +21,7 @@ def inline_rows(spark: SparkSession, rows: Sequence[tuple], schema: StructType |
     They become part of the plan, so Spark knows their size when it joins them.
     """
     if len(rows) > INLINE_LIMIT:
-        raise ValueError(f"{len(rows)} inline rows: write them to a file and read that")
+        raise ValueError(f"{len(rows)} inline rows: write them to a file and read that instead")
     fields = StructType.fromDDL(schema) if isinstance(schema, str) else schema
     columns = zip(*rows) if rows else ([] for _ in fields)
     arrow = to_arrow_schema(fields)

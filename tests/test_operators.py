@@ -115,6 +115,7 @@ def test_keep_listed_short_and_long_agree(spark):
     assert keep_listed(df, "k", short).count() == df.filter(F.col("k").isin(short)).count()
     assert values(keep_listed(df, "k", long)) == values(df.filter(F.col("k") % 2 == 0))
     assert keep_listed(df, "k", []).count() == 0
+    assert values(keep_listed(df, "k", spark.range(0, 4000, 2))) == values(keep_listed(df, "k", long))
 
 
 def test_aggregates(spark):

@@ -51,7 +51,8 @@ def test_pinned_filter_stays_above_the_aggregate(spark):
 
 def test_flat_map_equals_native(spark, sf_dir):
     documents = table(spark, sf_dir, "documents")
-    python = pf.flat_map(documents, lambda t: [w for l in t.split("\n") for w in l.split(" ")], "text", "token", "string")
+    split = lambda text: [word for line in text.split("\n") for word in line.split(" ")]
+    python = pf.flat_map(documents, split, "text", "token", "string")
     count = lambda df: values(df.groupBy("token").count())
     assert count(python) == count(explode_tokens(documents, "text"))
 

@@ -32,8 +32,10 @@ def values(df) -> list:
 
 
 def test_lines_keep_blanks_and_empty_lines(spark, folder):
-    put(folder, "a.txt", " one \n\ntwo\r\n three")
-    assert values(read_lines(spark, folder)) == [" one ", "", "two", " three"]
+    put(folder, "a.txt", " one \n\ntwo\r\n three\rfour \n\r\nsão\r\r\n")
+    lines = [" one ", "", "two", " three\rfour ", "", "são\r"]
+    assert values(read_lines(spark, folder)) == lines
+    assert values(read_lines(spark, folder, skip=1)) == lines[1:]
 
 
 def test_skip_is_per_file(spark, folder):
