@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from peneira.llm.common import code_points, in_chunks, mixed, texts_of
+from peneira.llm.common import code_points, in_chunks, mixed, stored, texts_of
 
 RARE = 1e-5  # share of a language's n-grams from which on one belongs to its filter
 HASHES = 3
@@ -137,8 +137,6 @@ def learn_filters(docs: DataFrame, text: str = "text", lang: str = "lang", rare:
     n-grams of its texts, so at most 1 / ``rare`` per language reach the driver,
     whatever the number of texts. Ties in the score go to the first language by name.
     """
-    from peneira.llm.common import stored
-
     counts = stored(gram_counts(docs, text, lang), "grams")
     totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
     frequent = counts.join(F.broadcast(totals), "lang").filter(F.col("n") >= F.col("total") * rare)

@@ -2,10 +2,22 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from peneira.llm import language, near_duplicates
+from peneira.llm import (
+    decontaminate,
+    language,
+    near_duplicates,
+    neighbours,
+    ngram_trie,
+    packing,
+    quality,
+    secret_scan,
+    sharding,
+    token_codes,
+)
 from peneira.llm.common import is_held_out
 from peneira.plans.inputs import table
 
@@ -19,6 +31,61 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality and decency scores of every document."""
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.learn(docs, table(spark, sf_dir, "labels")))
+
+
+def op3_token_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place and digest of every document in files of directly addressable codes."""
+    docs = table(spark, sf_dir, "documents")
+    file = public_tokenizers.path("byte_bpe_50k.json")
+    return token_codes.coded(docs, file, 2, digest=token_codes.crc32_of).withColumnRenamed("digest", "ids_crc32")
+
+
+def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors of every twentieth, by inner product."""
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", F.col("vec_id") % 20 == 0)
+
+
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents, packed into windows of 2048 tokens."""
+    docs = table(spark, sf_dir, "documents")
+    return packed(docs)
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    pieces = packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), 1)
+    digest = F.crc32("ids").alias("ids_crc32")
+    return pieces.select("doc_id", "start", "length", digest, "doc_tokens", "sequence_id", "offset")
+
+
+def op6_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probabilities of every document under a bigram trie of six sevenths of them."""
+    return ngram_trie.score(table(spark, sf_dir, "documents"), is_held_out("doc_id", 7, 2))
+
+
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document: those of the fixed patterns and those of learned formats."""
+    docs = table(spark, sf_dir, "documents")
+    found = secret_scan.scan(docs, secret_scan.learn_formats(docs))
+
+    def of(*kinds: str):
+        return F.filter("spans", lambda s: s.kind.isin(*kinds))
+
+    def listed(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start, s.end)), ",")
+
+    base = secret_scan.KINDS[:3]
+    return found.select(
+        "doc_id",
+        *(F.size(of(kind)).cast("long").alias(f"n_{kind}") for kind in base),
+        F.sha2(listed(of(*base)).cast("binary"), 256).alias("base_sha256"),
+        listed(F.col("spans")).alias("spans"),
+    )
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     found = near_duplicates.near_duplicates(table(spark, sf_dir, "documents"))
@@ -26,5 +93,28 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op8_simhash)}
+def op9_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in one of 24 shards of equal bytes, moved from shards by source."""
+    docs = table(spark, sf_dir, "documents")
+    by_source = F.pmod(F.crc32(F.col("source").cast("binary")), F.lit(24)).cast("int")
+    raw = F.coalesce(F.col("text").cast("binary"), F.lit(b""))
+    size = (F.octet_length(raw) + 8).cast("long").alias("size")
+    placed = sharding.reshard(docs, by_source, 24, columns=("doc_id", size, F.crc32(raw).alias("text_crc32")))
+    return placed.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark passages in the documents, with their places."""
+    return decontaminate.passages_in(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_quality, op3_token_codes, op4_nearest, op5_packing, op6_lm_scores, op7_secrets, op8_simhash, op9_shards, op10_decontamination)}
 ORACLE_SQL: dict[str, str] = {}
