@@ -13,13 +13,16 @@ from pyspark.sql import functions as F
 
 from peneira.llm.common import stored, texts_of
 
-SAMPLE = 8_000  # documents that the scorers are fitted on, by hash of the id
+SAMPLE = 12_000  # documents that the scorers are fitted on, by hash of the id
 LABELLED = 20_000  # labelled documents that unwanted terms are learned from, by hash of the id
-TERMS = 45  # of them
+TERMS = 600  # of them
+STEM = 6  # letters of a word that count as a term of their own
+LONG = 200  # words from which on a word's weight no longer falls with the text's length
 SLOTS = 1 << 22  # weights of a scorer
 SEEN = 5  # sample documents that a slot must occur in to get a weight
 ROUNDS = 60  # of expectation-maximisation
 PASSES = 60  # of the scorer's fit over its sample
+RIDGE = 1e-6  # weight of the squared weights in its loss
 BREAKS = r"[\x20\x09-\x0D]+"
 
 # Frequent short words of the languages in the tables; fixed values, in no order of importance.
@@ -42,6 +45,11 @@ class Labeller:
         return F.when(self.bad, -1).when(self.good, 1).otherwise(0).cast("tinyint").alias(self.name)
 
 
+def with_stems(words: Column) -> Column:
+    """The distinct words and their first letters."""
+    return F.array_union(words, F.transform(words, lambda w: F.substring(w, 1, STEM)))
+
+
 def measured(rows: DataFrame, terms: list[str]) -> DataFrame:
     """Rows (``doc_id``, ``text``) with the measures that the labellers look at; null counts as empty."""
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -60,7 +68,7 @@ def measured(rows: DataFrame, terms: list[str]) -> DataFrame:
         "*",
         F.greatest(F.size("words"), F.lit(1)).alias("n"),
         F.greatest(F.length("spoken"), F.lit(1)).alias("n_spoken"),
-        F.array_distinct(F.transform("words", lambda w: F.regexp_replace(w, r"[^\p{L}]+", ""))).alias("plain"),
+        with_stems(F.transform("words", lambda w: F.regexp_replace(w, r"[^\p{L}]+", ""))).alias("plain"),
     )
     return first.select(
         "doc_id",
@@ -69,6 +77,7 @@ def measured(rows: DataFrame, terms: list[str]) -> DataFrame:
         (F.col("odd") / F.col("chars")).alias("odd"),
         (F.length(F.regexp_replace("spoken", r"[^\p{Lu}]+", "")) / F.col("n_spoken")).alias("capitals"),
         (F.size(F.array_distinct("words")) / F.col("n")).alias("distinct"),
+        (F.size(F.filter("words", lambda w, i: w == F.get("words", i - 1))) / F.col("n")).alias("again"),
         (F.size(F.filter("words", lambda w: w.isin(FUNCTION_WORDS))) / F.col("n")).alias("common"),
         (F.size(F.filter("words", lambda w: F.substring(w, -1, 1).isin(".", "!", "?"))) / F.col("n")).alias("stops"),
         (F.col("n_spoken") / F.col("n")).alias("word_chars"),
@@ -82,6 +91,7 @@ def quality_labellers() -> list[Labeller]:
         Labeller("symbols", c("odd") < 0.02, c("odd") > 0.05),
         Labeller("capitals", c("capitals") < 0.2, c("capitals") > 0.5),
         Labeller("variety", long & (c("distinct") > 0.45), long & (c("distinct") < 0.3)),
+        Labeller("repeats", c("again") < 0.05, long & (c("again") > 0.2)),
         Labeller("function_words", c("common") > 0.12, long & (c("common") < 0.04)),
         Labeller("sentences", c("stops").between(0.02, 0.35), long & ((c("stops") < 0.005) | (c("stops") > 0.6))),
         Labeller("letters", c("letters") > 0.72, c("letters") < 0.6),
@@ -97,15 +107,17 @@ def decency_labellers() -> list[Labeller]:
 def unwanted_terms(docs: DataFrame, labels: DataFrame, size: int = LABELLED) -> list[str]:
     """Words that labelled toxic documents hold far more often than others, the most telling first.
 
-    Learned from at most about ``size`` labelled documents; a word counts once a document.
+    Learned from at most about ``size`` labelled documents with different texts; a word, or its first ``STEM``
+    letters, counts once a document.
     """
     marked = labels.filter("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     n = marked.count()
     if not n:
         return []
     some = marked.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int((1 << 20) * min(1.0, size / n)))
-    words = F.array_distinct(F.transform(F.split(F.lower("text"), BREAKS), lambda w: F.regexp_replace(w, r"[^\p{L}]+", "")))
-    chosen = stored(docs.filter("text is not null").join(some, "doc_id").select("toxic", words.alias("words")), "labelled")
+    words = with_stems(F.transform(F.split(F.lower("text"), BREAKS), lambda w: F.regexp_replace(w, r"[^\p{L}]+", "")))
+    found = docs.filter("text is not null").join(some, "doc_id").dropDuplicates(["text"])
+    chosen = stored(found.select("toxic", words.alias("words")), "labelled")
     total = {r.toxic: r["count"] for r in chosen.groupBy("toxic").count().collect()}
     bad, good = total.get(1, 0), total.get(0, 0)
     counts = (
@@ -115,33 +127,36 @@ def unwanted_terms(docs: DataFrame, labels: DataFrame, size: int = LABELLED) ->
         .agg(F.sum((F.col("toxic") == 1).cast("long")).alias("a"), F.sum((F.col("toxic") == 0).cast("long")).alias("b"))
     )
     odds = (F.col("a") / max(bad, 1)) / ((F.col("b") + 0.5) / max(good, 1))
-    telling = counts.filter((F.col("a") >= 5) & (odds >= 25)).orderBy(F.desc("a"), "word").limit(TERMS)
+    enough = max(5, bad // 150)
+    telling = counts.filter((F.col("a") >= enough) & (odds >= 25)).orderBy(F.desc("a"), "word").limit(TERMS)
     return [r.word for r in telling.collect()]
 
 
 def estimate(patterns: list[tuple[tuple[int, ...], int]], rounds: int = ROUNDS) -> tuple[list[float], np.ndarray, float]:
-    """Probability that each vote pattern is of a good row, each labeller's votes by class, and the share of good rows.
+    """Probability that each vote pattern is of a good row, each labeller's accuracy by class, and the share of good rows.
 
-    Expectation-maximisation over (pattern, number of rows): given its class, a row's votes (-1, 0, 1) are taken as
-    independent. It starts from labellers that are seldom wrong when they call a row
-    bad, and keeps that belief as a few rows' worth of evidence, which settles which class is which.
+    Expectation-maximisation over (pattern, number of rows). Votes are 1 (good), -1 (bad) or 0, which says
+    nothing; given its class, a row's votes are taken as independent. It starts from labellers that
+    seldom call a good row bad and often miss a bad one, and keeps that belief as a few
+    rows' worth of evidence, which settles which class is which.
     """
-    votes = np.array([p for p, _ in patterns], int).reshape(len(patterns), -1) + 1
+    votes = np.array([p for p, _ in patterns], int).reshape(len(patterns), -1)
     weight = np.array([n for _, n in patterns], float)
-    k = votes.shape[1]
-    start = np.array([[[0.35, 0.25, 0.4]], [[0.02, 0.18, 0.8]]]).repeat(k, axis=1)  # class (bad, good), labeller, vote
+    start = np.array([[0.45], [0.97]]).repeat(votes.shape[1], axis=1)  # accuracy on bad rows, on good rows
     evidence = 0.002 * weight.sum() + 1
-    table, share = start.copy(), 0.8
+    accuracy, share = start.copy(), 0.8
     good = np.full(len(patterns), 0.5)
     for _ in range(rounds):
-        logs = np.log(table)[:, np.arange(k)[None, :], votes].sum(axis=2) + np.log([[1 - share], [share]])
-        good = 1 / (1 + np.exp(np.clip(logs[0] - logs[1], -500, 500)))
-        for c, belief in enumerate((1 - good, good)):
-            for j in range(k):
-                seen = np.bincount(votes[:, j], belief * weight, minlength=3) + evidence * start[c, j]
-                table[c, j] = seen / seen.sum()
+        # log odds that a good vote, and a bad one, give for a good row
+        plus, minus = np.log(accuracy[1] / (1 - accuracy[0])), np.log((1 - accuracy[1]) / accuracy[0])
+        odds = (votes == 1) @ plus + (votes == -1) @ minus + np.log(share / (1 - share))
+        good = 1 / (1 + np.exp(-np.clip(odds, -500, 500)))
+        for c, belief, right in ((0, 1 - good, votes == -1), (1, good, votes == 1)):
+            cast = (belief * weight) @ (votes != 0)
+            accuracy[c] = ((belief * weight) @ right + evidence * start[c]) / (cast + evidence)
+        accuracy = np.clip(accuracy, 1e-6, 1 - 1e-6)
         share = float(np.clip((good * weight).sum() / max(weight.sum(), 1), 0.01, 0.99))
-    return good.tolist(), table, share
+    return good.tolist(), accuracy, share
 
 
 def _shape(word: str) -> str:
@@ -157,7 +172,7 @@ def _shape(word: str) -> str:
 def features(text: str, shapes: dict[str, str]) -> tuple[np.ndarray, np.ndarray]:
     """Slots and values of a text: its words, their shapes, and words that follow themselves, each hashed.
 
-    A slot's value is the square root of its share of the text's words, so that long texts weigh no more than short ones.
+    A slot's value is the square root of its share of the text's words, or of ``LONG`` words if there are more, 1 at most.
     """
     words = text.split()
     keys = [*words]
@@ -180,12 +195,12 @@ def features(text: str, shapes: dict[str, str]) -> tuple[np.ndarray, np.ndarray]
         slot = digest(key if key[0] < "\2" else key.lower().strip(".,;:!?\"'()"), 5) % SLOTS
         folded[slot] = folded.get(slot, 0) + n
     slots = np.fromiter(folded, np.int64, len(folded))
-    values = np.sqrt(np.fromiter(folded.values(), np.float64, len(folded)) / max(len(words), 1))
-    return slots, values
+    values = np.sqrt(np.fromiter(folded.values(), np.float64, len(folded)) / max(min(len(words), LONG), 1))
+    return slots, np.minimum(values, 1.0)
 
 
 def fit(rows: list[tuple[np.ndarray, np.ndarray]], target: np.ndarray) -> tuple[np.ndarray, float]:
-    """Weights and offset of a logistic scorer of soft labels, by adaptive gradient steps over all rows at once."""
+    """Weights and offset of a logistic scorer of soft labels; the rarer class weighs more, as much as it is rarer."""
     weights, offset = np.zeros(SLOTS, np.float64), 0.0
     if not rows:
         return weights, offset
@@ -194,20 +209,56 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], target: np.ndarray) -> tuple[
     values = np.concatenate([v for _, v in rows])
     owner = np.repeat(np.arange(len(rows)), sizes)
     used, place, often = np.unique(slots, return_inverse=True, return_counts=True)
-    values = np.where(often[place] >= SEEN, values, 0.0)
-    own, squares, offset_square = np.zeros(len(used)), np.full(len(used), 1e-8), 1e-8
-    rare = len(target) / (2 * max(min(target.sum(), (1 - target).sum()), 1.0))
-    importance = 1 + (rare - 1) * np.abs(target - (target.mean() >= 0.5))  # the rarer class weighs more
+    keep = often[place] >= SEEN
+    place, values, owner = place[keep], values[keep], owner[keep]
+    rare = np.clip(len(target) / (2 * max(min(target.sum(), (1 - target).sum()), 1.0)), 1, 10)
+    importance = 1 + (rare - 1) * np.abs(target - (target.mean() >= 0.5))
+    importance /= importance.sum()
+
+    def loss(w: np.ndarray) -> tuple[float, np.ndarray]:
+        z = np.bincount(owner, w[place] * values, minlength=len(rows)) + w[-1]
+        value = importance @ (np.logaddexp(0, z) - target * z) + 0.5 * RIDGE * (w[:-1] @ w[:-1])
+        error = importance * (1 / (1 + np.exp(-np.clip(z, -500, 500))) - target)
+        slope = np.bincount(place, error[owner] * values, minlength=len(w))
+        slope[:-1] += RIDGE * w[:-1]
+        slope[-1] = error.sum()
+        return float(value), slope
+
+    found = _minimum(loss, np.zeros(len(used) + 1))
+    weights[used] = found[:-1]
+    return weights, float(found[-1])
+
+
+def _minimum(loss, start: np.ndarray, memory: int = 8) -> np.ndarray:
+    """Limited-memory quasi-Newton descent with halved steps."""
+    at, (value, slope) = start, loss(start)
+    pairs: list[tuple[np.ndarray, np.ndarray, float]] = []
     for _ in range(PASSES):
-        score = 1 / (1 + np.exp(-np.clip(np.bincount(owner, own[place] * values, minlength=len(rows)) + offset, -30, 30)))
-        error = (score - target) * np.clip(importance, 1, 10) / len(rows)
-        slope = np.bincount(place, error[owner] * values, minlength=len(used)) + 1e-6 * own
-        squares += slope**2
-        own -= 0.7 * slope / np.sqrt(squares)
-        offset_square += error.sum() ** 2
-        offset -= 0.7 * error.sum() / offset_square**0.5
-    weights[used] = own
-    return weights, float(offset)
+        way, shares = slope.copy(), []
+        for s, y, r in reversed(pairs):
+            shares.append(r * (s @ way))
+            way -= shares[-1] * y
+        if pairs:
+            s, y, _ = pairs[-1]
+            way *= (s @ y) / (y @ y)
+        for (s, y, r), share in zip(pairs, reversed(shares), strict=True):
+            way += (share - r * (y @ way)) * s
+        step, gain = 1.0, slope @ way
+        while step > 1e-6:
+            there = at - step * way
+            there_value, there_slope = loss(there)
+            if there_value <= value - 1e-4 * step * gain:
+                break
+            step /= 2
+        else:
+            return at
+        s, y = there - at, there_slope - slope
+        if s @ y > 1e-12:
+            pairs = [*pairs[1 - memory :], (s, y, 1 / (s @ y))]
+        if value - there_value < 1e-6 * value:
+            return there
+        at, value, slope = there, there_value, there_slope
+    return at
 
 
 @dataclass(frozen=True)
@@ -217,7 +268,7 @@ class Scorers:
     quality: tuple[np.ndarray, float]
     decency: tuple[np.ndarray, float]
     terms: list[str]
-    votes: dict[str, np.ndarray]
+    accuracies: dict[str, np.ndarray]
 
 
 def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", sample: int = SAMPLE) -> Scorers:
