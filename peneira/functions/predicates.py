@@ -4,16 +4,15 @@ from __future__ import annotations
 
 import functools
 import operator
+import uuid
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from peneira.functions.names import named
 from peneira.functions.text import standardise
-from peneira.sources.structured import inline_rows
-
-SHORT_LIST = 1_000
-
 
 def all_of(*conditions: Column) -> Column:
     return functools.reduce(operator.and_, conditions)
@@ -25,27 +24,27 @@ def any_of(*conditions: Column) -> Column:
 
 def differs(name: str, value: object, keep_null: bool = False) -> Column:
     """Not equal. As in SQL a null row drops out, unless ``keep_null``."""
-    return ~F.col(name).eqNullSafe(F.lit(value)) if keep_null else F.col(name) != value
+    return ~named(name).eqNullSafe(F.lit(value)) if keep_null else named(name) != value
 
 
 def half_open(name: str, low: object, high: object) -> Column:
     """``low <= name < high``"""
-    return (F.col(name) >= low) & (F.col(name) < high)
+    return (named(name) >= low) & (named(name) < high)
 
 
 def closed(name: str, low: object, high: object) -> Column:
     """``low <= name <= high``"""
-    return F.col(name).between(low, high)
+    return named(name).between(low, high)
 
 
 def equals_ignoring_case(name: str, value: str) -> Column:
-    return F.lower(F.col(name)) == value.lower()
+    return F.lower(named(name)) == value.lower()
 
 
 def equals_trimmed(name: str, value: str, side: str = "both") -> Column:
     """Equal when blanks at the ``left``, ``right`` or ``both`` ends do not count."""
     trim = {"both": F.trim, "left": F.ltrim, "right": F.rtrim}[side]
-    return trim(F.col(name)) == value
+    return trim(named(name)) == value
 
 
 def equals_standardised(name: str, value: str) -> Column:
@@ -54,22 +53,27 @@ def equals_standardised(name: str, value: str) -> Column:
     A condition on a computed value is not pushed into the scan; for repeated
     use store the standardised column once and filter on that.
     """
-    return standardise(name) == standardise(F.lit(value))
+    return standardise(named(name)) == standardise(F.lit(value))
 
 
 def keep_listed(df: DataFrame, name: str, values: Sequence | DataFrame) -> DataFrame:
-    """Rows whose ``name`` is in the list.
+    """Rows whose ``name`` is in the list: a Python list, or a DataFrame of one column.
 
-    A short list becomes a set test inside the scan's filter. A longer one, or
-    one given as a DataFrame of one column, becomes a semi join; Spark picks its
-    strategy from the list's size.
+    The values are converted to the column's type first; one that this type cannot hold
+    as it is, such as 1.5 for whole numbers, matches nothing, and neither does null.
+    The list becomes a semi join, whose strategy Spark picks by the list's size; of any
+    length it behaves alike. A Python list is held in the driver's memory, so give long
+    ones as a DataFrame.
     """
-    if isinstance(values, DataFrame):
-        listed = values.toDF("listed")
-    else:
-        values = list(dict.fromkeys(values))
-        if len(values) <= SHORT_LIST:
-            return df.filter(F.col(name).isin(values))
-        kind = df.schema[name].dataType.simpleString()
-        listed = inline_rows(df.sparkSession, [(value,) for value in values], f"listed {kind}")
-    return df.join(listed, F.col(f"`{name}`") == F.col("listed"), "left_semi")
+    kind = df.schema[name].dataType.simpleString()
+    if not isinstance(values, DataFrame):
+        column = pa.array(list(dict.fromkeys(values)))
+        if pa.types.is_null(column.type):
+            return df.filter(F.lit(False))
+        values = df.sparkSession.createDataFrame(pa.table({"value": column}))
+    given = named(values.columns[0])
+    listed = f"listed_{uuid.uuid4().hex}"  # no column of the rows has this name
+    same = given.try_cast(kind)
+    own = values.schema[0].dataType.simpleString()
+    fits = values.filter(same.try_cast(own) == given).select(same.alias(listed))
+    return df.join(fits, named(name) == F.col(listed), "left_semi")

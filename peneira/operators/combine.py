@@ -8,9 +8,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from peneira.functions.names import named
 from peneira.workspace import new_folder
 
-BLOCK_SIZE = 10_000
 BROADCAST_KEYS = 100_000
 BROADCAST_CHARS = 50_000_000
 
@@ -20,37 +20,71 @@ def flatten(parts: Sequence[DataFrame]) -> DataFrame:
     return functools.reduce(DataFrame.unionByName, parts)
 
 
+def tagged_rows(df: DataFrame, key: str, inputs: Mapping[str, tuple[Column, Column | str]]) -> DataFrame:
+    """The inputs of a co-group that come from one DataFrame, in one scan: ``key``, ``value``, ``tag``.
+
+    ``inputs`` has a condition and a value for each tag; a row goes to every tag whose condition it meets.
+    """
+    of = lambda c: named(c) if isinstance(c, str) else c
+    own = [
+        F.when(condition, F.struct(of(value).alias("value"), F.lit(tag).alias("tag")))
+        for tag, (condition, value) in inputs.items()
+    ]
+    met = F.filter(F.array(*own), lambda entry: entry.isNotNull())
+    rows = df.select(named(key).alias("key"), F.explode(met).alias("entry"))
+    return rows.select("key", "entry.value", "entry.tag")
+
+
+def align(inputs: Mapping[str, DataFrame]) -> DataFrame:
+    """Aggregates by the same key side by side: a row per key, a column per tag, null where an input lacks the key.
+
+    For inputs with at most one row a key, as a ``groupBy`` gives them; a second one is an error. No lists are made.
+    """
+    tagged = flatten([df.select("key", "value", F.lit(tag).alias("tag")) for tag, df in inputs.items()])
+    mine = lambda tag: F.when(F.col("tag") == tag, F.struct("value"))
+    columns = [F.max(mine(tag)).alias(tag) for tag in inputs]
+    most = F.greatest(*[F.count(mine(tag)) for tag in inputs], F.lit(0)).alias("most")
+    grouped = tagged.groupBy("key").agg(*columns, most)
+    once = F.when(F.col("most") > 1, F.raise_error(F.lit("align: a key has several values"))).otherwise(F.lit(True))
+    return grouped.filter(once).select("key", *[F.col(tag)["value"].alias(tag) for tag in inputs])
+
+
 def co_group(
-    inputs: Mapping[str, DataFrame],
-    block_size: int | None = BLOCK_SIZE,
+    inputs: Mapping[str, DataFrame] | DataFrame,
+    block_size: int,
     spread_by: Column | None = None,
+    tags: Sequence[str] = (),
 ) -> DataFrame:
     """Bring the values of several ``key``/``value`` DataFrames together by key.
 
-    The result has a row for every key of any input, with a sorted array column
-    per tag, empty where that input lacks the key. To summarise rather than
-    list the values, ``summary_per_key`` needs no lists at all.
-
-    A key with more than ``block_size`` values under one tag is laid out over
-    several rows, numbered by ``block`` from 0: no value is dropped, yet no
-    task has to hold a frequent key's whole list. ``spread_by``, an integer
-    expression of ``value``, says which block takes a value; the default is a
-    hash. Equal values are counted before the shuffle, and a value repeated
-    more than ``block_size`` times goes over several blocks too.
-
-    The frequent keys are looked up when this is called: one aggregate, stored
-    in the shared folder. Where there are none, the values go through a single
-    shuffle. ``block_size=None`` leaves the look-up out; that is for inputs
-    which are aggregates by the key already, with one value each.
+    The result has a row for every key *and block*, with a sorted array column per tag, empty
+    where that block has none of the input's values. ``block`` counts from 0; a key with at
+    most ``block_size`` values under each tag has block 0 alone. A frequent key is laid out over
+    several blocks of about that size: no value is dropped, yet no task has to hold its whole
+    list. Go on by (``key``, ``block``); to summarise rather than list the values, use
+    ``summary_per_key``, and ``align`` for inputs that are aggregates by the key already.
+
+    ``inputs`` may also be the result of ``tagged_rows``, which reads a shared source once; give its ``tags``.
+    ``spread_by``, an integer expression of ``value``, says which block takes a value; the
+    default is a hash. Equal values are counted before the shuffle, and a value repeated more
+    than ``block_size`` times goes over several blocks too. The frequent keys are looked up
+    when this is called: one aggregate, stored in the shared folder. Where there are none, the
+    values go through a single shuffle.
     """
-    tagged = flatten([df.select("key", "value", F.lit(tag).alias("tag")) for tag, df in inputs.items()])
-    placed = None if block_size is None else _in_blocks(tagged, block_size, spread_by)
+    if isinstance(inputs, DataFrame):
+        if not tags:
+            raise ValueError("name the tags of the rows")
+        tagged = inputs
+    else:
+        tags = list(inputs)
+        tagged = flatten([df.select("key", "value", F.lit(tag).alias("tag")) for tag, df in inputs.items()])
+    placed = _in_blocks(tagged, block_size, spread_by)
     if placed is None:
         placed = tagged.withColumns({"times": F.lit(1), "block": F.lit(0).cast("long")})
     run = F.struct("value", "times")
-    lists = [F.array_sort(F.collect_list(F.when(F.col("tag") == tag, run))).alias(tag) for tag in inputs]
+    lists = [F.array_sort(F.collect_list(F.when(F.col("tag") == tag, run))).alias(tag) for tag in tags]
     grouped = placed.groupBy("key", "block").agg(*lists)
-    return grouped.select("key", "block", *[_expanded(tag).alias(tag) for tag in inputs])
+    return grouped.select("key", "block", *[_expanded(tag).alias(tag) for tag in tags])
 
 
 def _frequent_keys(tagged: DataFrame, block_size: int) -> DataFrame:
@@ -97,7 +131,7 @@ def _in_blocks(tagged: DataFrame, block_size: int, spread_by: Column | None) ->
     # Modulo first: adding the run to a 64-bit hash could overflow.
     block = F.pmod(F.pmod(place, blocks) + F.col("run"), blocks).cast("long")
     placed = joined.withColumn("block", block).drop("frequent_key", "blocks", "run")
-    # A sort-merge join leaves all rows of a key in one place; spread its blocks again.
+    # A sort-merge join brings a key's runs together (adaptive execution splits a skewed one); spread its blocks again.
     return placed if small else placed.repartition("key", "block")
 
 

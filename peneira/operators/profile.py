@@ -6,8 +6,9 @@ import functools
 import time
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from peneira.sinks.files import write_csv, write_json, write_parquet
 from peneira.sources.delimited import read_csv
@@ -15,10 +16,11 @@ from peneira.sources.structured import inline_rows, read_json, read_parquet
 
 
 def table_profile(df: DataFrame, exact: bool = False) -> DataFrame:
-    """Name, position, type, nulls and distinct values of each column.
+    """Name, position, type, nulls and distinct values of each column, and the number of rows.
 
     Everything comes from one pass. Distinct values are estimated (about 5 %
-    off) unless ``exact``, which shuffles the distinct values of every column.
+    off). ``exact`` is for small tables: it makes a copy of every row for each column, and
+    shuffles each column's distinct values.
     Null is not counted as a value.
     """
     distinct = F.count_distinct if exact else F.approx_count_distinct
@@ -36,9 +38,17 @@ def table_profile(df: DataFrame, exact: bool = False) -> DataFrame:
                 F.lit(field.dataType.simpleString()).alias("data_type"),
                 F.col(f"nulls_{position}").alias("n_nulls"),
                 F.col(f"distinct_{position}").alias("n_distinct"),
+                F.col("n_rows"),
             )
         )
-    return df.agg(*measures).select(F.inline(F.array(*described)))
+    return df.agg(*measures, F.count("*").alias("n_rows")).select(F.inline(F.array(*described)))
+
+
+def read_format(spark: SparkSession, path: str, name: str, schema: StructType) -> DataFrame:
+    """The rows of files that ``compare_formats`` wrote."""
+    if name == "csv":
+        return read_csv(spark, path, header=True, schema=schema)
+    return read_json(spark, path, schema) if name == "json" else read_parquet(spark, path, schema)
 
 
 def compare_formats(df: DataFrame, folder: str) -> DataFrame:
@@ -54,11 +64,6 @@ def compare_formats(df: DataFrame, folder: str) -> DataFrame:
         "csv": functools.partial(write_csv, header=True),
         "json": write_json,
     }
-    read: dict[str, Callable] = {
-        "parquet": read_parquet,
-        "csv": functools.partial(read_csv, header=True, schema=schema),
-        "json": functools.partial(read_json, schema=schema),
-    }
     rows, measured = df, []
     for name in write:
         for compression in (None, "gzip"):
@@ -66,7 +71,7 @@ def compare_formats(df: DataFrame, folder: str) -> DataFrame:
             started = time.perf_counter()
             write[name](rows, path, compression=compression)
             written = time.perf_counter()
-            copy = read[name](spark, path)
+            copy = read_format(spark, path, name, schema)
             copy.write.format("noop").mode("overwrite").save()
             scanned = time.perf_counter()
             rows = copy if rows is df else rows

@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from peneira.functions.names import named
 from peneira.functions.text import split_on
 
 
@@ -39,7 +40,7 @@ def explode_tokens(df: DataFrame, text: str, name: str = "token") -> DataFrame:
 
 def at(df: DataFrame, position: int) -> Column:
     """The column at a position, 0-based, resolved to its name at once."""
-    return F.col(f"`{df.columns[position]}`")
+    return named(df.columns[position])
 
 
 def cast_with_rejects(df: DataFrame, name: str, kind: str = "int") -> tuple[DataFrame, DataFrame]:
@@ -47,7 +48,17 @@ def cast_with_rejects(df: DataFrame, name: str, kind: str = "int") -> tuple[Data
 
     ``converted`` has every row, with null where the text is no value of that
     type. ``rejects`` has the rows whose text was lost that way, as it was. A
-    plain cast would fail the whole job at the first bad text.
+    plain cast would fail the whole job at the first bad text. Using both reads ``df``
+    twice; ``with_cast`` gives the conversion and the lost text in one.
     """
-    parsed = F.col(name).try_cast(kind)
-    return df.withColumn(name, parsed), df.filter(F.col(name).isNotNull() & parsed.isNull())
+    parsed = named(name).try_cast(kind)
+    return df.withColumn(name, parsed), df.filter(named(name).isNotNull() & parsed.isNull())
+
+
+def with_cast(df: DataFrame, name: str, kind: str = "int", rejected: str = "rejected") -> DataFrame:
+    """Convert a text column in place; ``rejected`` has the text where it is no value of that type, else null."""
+    if rejected in df.columns:
+        raise ValueError(f"there is a column {rejected} already")
+    parsed = named(name).try_cast(kind)
+    lost = F.when(parsed.isNull(), named(name)).alias(rejected)
+    return df.select(*(parsed.alias(c) if c == name else named(c) for c in df.columns), lost)

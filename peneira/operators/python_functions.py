@@ -8,6 +8,7 @@ only for functions that have none. Select the columns needed beforehand.
 from __future__ import annotations
 
 import functools
+import itertools
 from collections import namedtuple
 from collections.abc import Callable, Iterable, Iterator
 
@@ -17,8 +18,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructField, StructType
 
+from peneira.functions.names import named, quoted
+
 OUTPUT_ROWS = 10_000
 HELD_KEYS = 100_000
+HELD_BYTES = 64 << 20
 NATIVE = {"sum": F.sum, "min": F.min, "max": F.max}
 
 
@@ -58,34 +62,55 @@ def for_each_record(df: DataFrame, process: Callable, schema: StructType | str)
 
 def flat_map(df: DataFrame, fn: Callable[..., Iterable], column: str, name: str, kind: str) -> DataFrame:
     """One row per item ``fn`` gives for each value of ``column``."""
-    return for_each_record(
-        df.select(column), lambda record: ((item,) for item in fn(record[0]) or ()), f"`{name}` {kind}"
+    return df.select(named(column)).mapInArrow(
+        functools.partial(_flatten_items, fn=fn, kind=_arrow(f"{quoted(name)} {kind}")), f"{quoted(name)} {kind}"
     )
 
 
 def combine_per_key(
-    df: DataFrame, key: str, value: str, combiner: Callable[[Iterable], object] | str
+    df: DataFrame, key: str, value: str, combiner: Callable[[Iterable], object] | str, kind: str | None = None
 ) -> DataFrame:
     """Reduce the values of each key with ``combiner``, e.g. Python's ``sum``.
 
     A name out of ``NATIVE``, such as ``"sum"``, takes Spark's own aggregate.
 
-    ``combiner`` turns several values into one of the same type; the order and
-    grouping in which it meets them must not matter. It runs once over the
-    values within each task, and again over those partial results, so a
-    frequent key costs one partial result per task. No group is ever held
-    whole.
+    ``combiner`` turns several values into one of the type ``kind``; the order and
+    grouping in which it meets them must not matter. ``kind`` defaults to the values' type,
+    with whole numbers as long and floats as double, so that sums have room. As in SQL, null
+    values are passed over, a key with nothing else gets null, a null key is a key, and
+    so are NaN and zero, of either sign. It runs once over the values within each task, and
+    again over those partial results, so a frequent key costs one partial result per task.
+    No group is ever held whole.
     """
-    pairs = df.select(key, value)
+    pairs = df.select(named(key), named(value))
     if isinstance(combiner, str):
-        return pairs.groupBy(key).agg(NATIVE[combiner](value).alias(value))
+        result = NATIVE[combiner](named(value))
+        return pairs.groupBy(named(key)).agg((result if kind is None else result.cast(kind)).alias(value))
+    field = pairs.schema[value].dataType
+    wide = {"tinyint": "bigint", "smallint": "bigint", "int": "bigint", "float": "double"}
+    kind = kind or wide.get(field.simpleString(), field.simpleString())
+    own = named(key)
+    if pairs.schema[key].dataType.simpleString() in ("float", "double"):
+        own = own + F.lit(0.0).cast(pairs.schema[key].dataType)  # minus zero is zero
+    pairs = pairs.select(own.alias(key), named(value).cast(kind).alias(value))
     schema = pairs.schema
     partial = pairs.mapInArrow(functools.partial(_combine, combiner=combiner, by_key=False), schema)
     # Sorted by key, the partial results of a key follow each other.
-    gathered = partial.repartition(key).sortWithinPartitions(key)
+    gathered = partial.repartition(named(key)).sortWithinPartitions(named(key))
     return gathered.mapInArrow(functools.partial(_combine, combiner=combiner, by_key=True), schema)
 
 
+def _same(key: object) -> object:
+    """What keys are looked up by: hashable, and with all NaN as one."""
+    if isinstance(key, float) and key != key:
+        return _same
+    if isinstance(key, list):
+        return tuple(map(_same, key))
+    if isinstance(key, dict):
+        return tuple((k, _same(v)) for k, v in key.items())
+    return key
+
+
 def _arrow(schema: StructType | str) -> pa.Schema:
     if isinstance(schema, str):
         schema = StructType.fromDDL(schema)
@@ -115,27 +140,49 @@ def _process_records(
         yield _rows_to_batch(ready, schema)
 
 
+def _flatten_items(
+    batches: Iterator[pa.RecordBatch], fn: Callable[..., Iterable], kind: pa.Schema
+) -> Iterator[pa.RecordBatch]:
+    ready: list = []
+    for batch in batches:
+        for value in batch.column(0).to_pylist():
+            items = iter(fn(value) or ())
+            while some := list(itertools.islice(items, OUTPUT_ROWS - len(ready))):
+                ready += some
+                if len(ready) == OUTPUT_ROWS:
+                    yield pa.RecordBatch.from_arrays([pa.array(ready, kind.field(0).type)], schema=kind)
+                    ready = []
+    if ready:
+        yield pa.RecordBatch.from_arrays([pa.array(ready, kind.field(0).type)], schema=kind)
+
+
 def _combine(
     batches: Iterator[pa.RecordBatch], combiner: Callable, by_key: bool
 ) -> Iterator[pa.RecordBatch]:
-    """Combine values per key; with ``by_key`` the input is sorted by key."""
-    held: dict = {}
-    schema = None
+    """Combine values per key; with ``by_key`` the input is sorted by key.
+
+    What is held is written out when it has ``HELD_KEYS`` keys, or comes from ``HELD_BYTES`` of input.
+    """
+    held: dict = {}  # key as looked up: (key, combined value)
+    schema, taken = None, 0
     for batch in batches:
-        schema = batch.schema
-        met: dict = {key: [value] for key, value in held.items()} if by_key else {}
+        schema, taken = batch.schema, taken + batch.nbytes
+        met: dict = {}
         for key, value in zip(*(column.to_pylist() for column in batch.columns)):
-            met.setdefault(key, []).append(value)
-        for key, values in met.items():
-            if not by_key and key in held:
-                values = [held[key], *values]
-            held[key] = combiner(values) if len(values) > 1 or not by_key else values[0]
+            met.setdefault(_same(key), (key, []))[1].append(value)
+        for same, (key, values) in met.items():
+            there = [v for v in values if v is not None]
+            if same in held and held[same][1] is not None:
+                there = [held[same][1], *there]
+            combined = there[0] if by_key and len(there) == 1 else combiner(there) if there else None
+            held[same] = (key, combined)
         if by_key and len(held) > 1:
-            *done, last = held.items()  # the last key may go on in the next batch
-            yield _rows_to_batch(done, schema)
-            held = dict([last])
-        elif len(held) >= HELD_KEYS:
-            yield _rows_to_batch(list(held.items()), schema)
-            held = {}
+            # The last key may go on in the next batch.
+            last = _same(key)
+            yield _rows_to_batch([row for same, row in held.items() if same != last], schema)
+            held = {last: held[last]}
+        elif not by_key and (len(held) >= HELD_KEYS or taken >= HELD_BYTES):
+            yield _rows_to_batch(list(held.values()), schema)
+            held, taken = {}, 0
     if held:
-        yield _rows_to_batch(list(held.items()), schema)
+        yield _rows_to_batch(list(held.values()), schema)

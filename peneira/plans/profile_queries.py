@@ -3,19 +3,26 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from peneira.operators.profile import compare_formats, table_profile
+from peneira.operators.combine import flatten
+from peneira.operators.profile import compare_formats, read_format, table_profile
 from peneira.plans.inputs import ORDERS_N, orders_n, table
 from peneira.plans.registry import query
 from peneira.workspace import new_folder
 
+FEW = 100  # distinct values up to which the estimate is exact
+
 
 @query(
     "M01",
     ORDERS_N
     + "\nUNION ALL ".join(
         f"SELECT '{c}' AS column_name, {i} AS position, '{kind}' AS data_type, "
-        f"count(*) - count({c}) AS n_nulls, count(DISTINCT {c}) AS n_distinct FROM orders_n"
+        f"count(*) - count({c}) AS n_nulls, "
+        f"CASE WHEN count(DISTINCT {c}) <= {FEW} THEN count(DISTINCT {c}) END AS n_distinct, "
+        f"{'abs(count(DISTINCT ' + c + ') - count(*)) <= 0.1 * count(*)' if c == 'o_orderkey' else 'NULL'} AS looks_like_key "
+        f"FROM orders_n"
         for i, (c, kind) in enumerate(
             [
                 ("o_orderkey", "bigint"),
@@ -28,9 +35,42 @@ from peneira.workspace import new_folder
     ),
 )
 def prf_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table_profile(orders_n(spark, sf_dir), exact=True)
+    """One pass; distinct values are estimates, exact for few and within a tenth for a key."""
+    profile = table_profile(orders_n(spark, sf_dir))
+    near = F.abs(F.col("n_distinct") - F.col("n_rows")) <= 0.1 * F.col("n_rows")
+    return profile.select(
+        "column_name",
+        "position",
+        "data_type",
+        "n_nulls",
+        F.when(F.col("n_distinct") <= FEW, F.col("n_distinct")).alias("n_distinct"),
+        F.when(F.col("column_name") == "o_orderkey", near).alias("looks_like_key"),
+    )
 
 
-@query("M02")
+@query(
+    "M02",
+    "\nUNION ALL ".join(
+        f"SELECT '{name}' AS format, '{compression}' AS compression, count(*) AS n_rows, sum(l_orderkey) AS keys, "
+        "sum(l_quantity) AS quantity, count(DISTINCT l_returnflag) AS flags FROM lineitem"
+        for name in ("parquet", "csv", "json")
+        for compression in ("default", "gzip")
+    ),
+)
 def prf_format_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return compare_formats(table(spark, sf_dir, "lineitem"), new_folder(spark, "formats"))
+    """What the files of each format hold, read back; their bytes and seconds are for the bench."""
+    lines, folder = table(spark, sf_dir, "lineitem"), new_folder(spark, "formats")
+    compare_formats(lines, folder)
+    contents = [
+        read_format(spark, f"{folder}/{name}-{compression}", name, lines.schema).agg(
+            F.lit(name).alias("format"),
+            F.lit(compression).alias("compression"),
+            F.count("*").alias("n_rows"),
+            F.sum("l_orderkey").alias("keys"),
+            F.sum("l_quantity").alias("quantity"),
+            F.count_distinct("l_returnflag").alias("flags"),
+        )
+        for name in ("parquet", "csv", "json")
+        for compression in ("default", "gzip")
+    ]
+    return flatten(contents)

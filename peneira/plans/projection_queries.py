@@ -101,11 +101,20 @@ def prj_cast_int(spark: SparkSession, sf_dir: str) -> DataFrame:
     return converted
 
 
-@query("P09", "SELECT p_partkey AS id, string_split(p_name, ' ')[-1] AS parsed FROM part")
+@query(
+    "P09",
+    """SELECT p_partkey AS id, string_split(p_name, ' ')[-1] AS parsed FROM part
+WHERE p_partkey % 3 = 0 AND TRY_CAST(string_split(p_name, ' ')[-1] AS INTEGER) IS NULL""",
+)
 def prj_cast_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ends = table(spark, sf_dir, "part").select(
-        F.col("p_partkey").alias("id"), F.element_at(split_on("p_name", " "), -1).alias("parsed")
+    """Of numbers, nulls and words, the words."""
+    part = F.col("p_partkey")
+    text = (
+        F.when(part % 3 == 0, F.element_at(split_on("p_name", " "), -1))
+        .when(part % 3 == 1, part.cast("string"))
+        .otherwise(F.lit(None).cast("string"))
     )
+    ends = table(spark, sf_dir, "part").select(part.alias("id"), text.alias("parsed"))
     _, rejects = cast_with_rejects(ends, "parsed", "int")
     return rejects
 

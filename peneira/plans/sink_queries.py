@@ -58,6 +58,31 @@ def snk_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv(spark, path, header=False, schema=suppliers.schema)
 
 
+ROUND_TRIP = """SELECT o_orderkey, CASE o_orderkey % 7 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN chr(92) || 'N'
+  WHEN 3 THEN '  ' || o_orderpriority || ' ' WHEN 4 THEN 'a "quote", a ; and a \\' WHEN 5 THEN 'two' || chr(10) || 'lines'
+  ELSE chr(92) || chr(92) || 'N' END AS remark FROM orders"""
+
+
+@query("K02", ROUND_TRIP)
+def snk_csv_any_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Null, empty text, the null mark itself, blanks, quotes and line breaks come back as they were."""
+    orders = table(spark, sf_dir, "orders")
+    rest = F.col("o_orderkey") % 7
+    remark = (
+        F.when(rest == 0, F.lit(None).cast("string"))
+        .when(rest == 1, "")
+        .when(rest == 2, "\\N")
+        .when(rest == 3, F.concat(F.lit("  "), F.col("o_orderpriority"), F.lit(" ")))
+        .when(rest == 4, 'a "quote", a ; and a \\')
+        .when(rest == 5, "two\nlines")
+        .otherwise("\\\\N")
+    )
+    rows = orders.select("o_orderkey", remark.alias("remark"))
+    path = new_folder(spark, "csv-any-text")
+    write_csv(rows, path, header=True)
+    return read_csv(spark, path, header=True, schema=rows.schema, multiLine=True, lineSep="\n")
+
+
 @query("K03", "SELECT * FROM part")
 def snk_csv_gzip(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = table(spark, sf_dir, "part")
@@ -148,7 +173,7 @@ def _columns(name: str) -> int:
 @query(
     "K12",
     "\nUNION ALL ".join(
-        f"SELECT '{name}' AS table_name, count(*) AS n_rows, {_columns(name)} AS n_columns FROM {name}"
+        f"SELECT '{name}' AS table_name, count(*) AS n_rows, {_columns(name)} AS n_columns, 0 AS n_rejected FROM {name}"
         for name in STAR_TABLES
     ),
 )

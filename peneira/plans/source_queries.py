@@ -18,6 +18,7 @@ from peneira.sources import (
     read_parquet,
     read_partition,
     split_fields,
+    spread,
 )
 from peneira.workspace import new_folder
 
@@ -32,7 +33,7 @@ FROM lines GROUP BY 1""",
 )
 def src_text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_folder(spark, "text-lines")
-    write_text(table(spark, sf_dir, "documents").select("text"), path)
+    write_text(table(spark, sf_dir, "documents").select("text"), path, strict=False)  # a text has many lines
     length_class = F.expr("length(value) div 20 * 20").alias("length_class")
     return read_lines(spark, path).groupBy(length_class).agg(F.count("*").alias("n_lines"))
 
@@ -87,6 +88,22 @@ def src_csv_header(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv(spark, path, header=True, schema=customers.schema)
 
 
+@query(
+    "S05",
+    """SELECT CAST(c_custkey AS INTEGER) AS c_custkey, c_name, CAST(c_nationkey AS INTEGER) AS c_nationkey,
+  c_mktsegment, CAST(c_acctbal AS DOUBLE) AS c_acctbal, 'int,string,int,double,string' AS kinds FROM customer""",
+)
+def src_csv_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names from the header, types from the data."""
+    path = new_folder(spark, "csv-inferred")
+    write_csv(table(spark, sf_dir, "customer"), path, header=True)
+    return _with_kinds(read_csv(spark, path, header=True))
+
+
+def _with_kinds(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("kinds", F.lit(",".join(kind for _, kind in rows.dtypes)))
+
+
 @query("S06", "SELECT * FROM supplier")
 def src_csv_semicolon(spark: SparkSession, sf_dir: str) -> DataFrame:
     suppliers = table(spark, sf_dir, "supplier")
@@ -104,13 +121,25 @@ def src_csv_preamble(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv_with_preamble(spark, path, customers.schema, preamble=1, sep=";")
 
 
+@query(
+    "S07",
+    """SELECT CAST(s_suppkey AS INTEGER) AS s_suppkey, s_name, CAST(s_nationkey AS INTEGER) AS s_nationkey,
+  CAST(s_acctbal AS DOUBLE) AS s_acctbal, 'int,string,int,double' AS kinds FROM supplier""",
+)
+def src_csv_preamble_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names from the header line below the preamble, types from the data."""
+    path = new_folder(spark, "csv-preamble-inferred")
+    _write_with_preamble(table(spark, sf_dir, "supplier"), path, "Updated: 2024-01-01", ";")
+    return _with_kinds(read_csv_with_preamble(spark, path, preamble=1, sep=";"))
+
+
 def _write_with_preamble(df: DataFrame, path: str, preamble: str, sep: str) -> None:
     """Text files that open with a preamble line and a header line each."""
     line = F.concat_ws(sep, *df.columns)
     row_in_task = F.monotonically_increasing_id().bitwiseAND(2**33 - 1)
     head = f"{preamble}\n{sep.join(df.columns)}\n"
     opened = F.when(row_in_task == 0, F.concat(F.lit(head), line)).otherwise(line)
-    write_text(df.select(opened.alias("value")), path)
+    write_text(df.select(opened.alias("value")), path, strict=False)
 
 
 @query(
@@ -131,6 +160,17 @@ def src_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_json(spark, path, events.schema)
 
 
+@query(
+    "S09",
+    "SELECT s_acctbal, s_name, s_nationkey, s_suppkey, 'double,string,bigint,bigint' AS kinds FROM supplier",
+)
+def src_json_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """No schema: columns by name, types from the data."""
+    path = new_folder(spark, "json-inferred")
+    write_json(table(spark, sf_dir, "supplier"), path)
+    return _with_kinds(read_json(spark, path))
+
+
 @query("S10", "SELECT * FROM lineitem")
 def src_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_parquet(spark, f"{sf_dir}/lineitem.parquet")
@@ -141,7 +181,7 @@ def src_gzip_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = table(spark, sf_dir, "part")
     path = new_folder(spark, "gzip-csv")
     write_csv(parts, path, header=True, compression="gzip")
-    return read_csv(spark, path, header=True, schema=parts.schema)
+    return spread(read_csv(spark, path, header=True, schema=parts.schema))
 
 
 @query("S11", "SELECT * FROM part")

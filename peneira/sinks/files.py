@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import warnings
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from peneira.sources.delimited import QUOTING
+from peneira.functions.names import named
+from peneira.sources.delimited import NULL_MARK, QUOTING, with_marks
 
 # Spark writes milliseconds to CSV and JSON unless told otherwise.
 MICROSECONDS = {
@@ -16,13 +19,27 @@ MICROSECONDS = {
 KEEP_BLANKS = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
 
-def write_text(df: DataFrame, path: str, sep: str = ",", compression: str | None = None) -> None:
-    """One line per row: the columns as text, joined by ``sep``; null is empty."""
-    fields = [F.coalesce(F.col(f"`{name}`").cast("string"), F.lit("")) for name in df.columns]
+def write_text(
+    df: DataFrame, path: str, sep: str = ",", compression: str | None = None, *, strict: bool = True
+) -> None:
+    """One line per row: the columns as text, joined by ``sep``; null is empty.
+
+    A value with a line break, or with the separator if there are several columns, would be
+    read as other rows or fields: it is an error, unless ``strict`` is off.
+    """
+    fields = [F.coalesce(named(name).cast("string"), F.lit("")) for name in df.columns]
+    if strict:
+        fields = [_unbroken(field, name, sep if len(fields) > 1 else "") for field, name in zip(fields, df.columns)]
     writer = df.select(F.concat_ws(sep, *fields).alias("value")).write.mode("overwrite")
     (writer if compression is None else writer.option("compression", compression)).text(path)
 
 
+def _unbroken(field: Column, name: str, sep: str) -> Column:
+    bad = field.contains("\n") | field.contains("\r")
+    bad = bad | field.contains(sep) if sep else bad
+    return F.when(bad, F.raise_error(F.lit(f"write_text: a line break or separator in {name}"))).otherwise(field)
+
+
 def write_csv(
     df: DataFrame,
     path: str,
@@ -32,12 +49,14 @@ def write_csv(
     compression: str | None = None,
     **options: object,
 ) -> None:
-    """Delimited files. CSV does not tell empty text from null: both read as null."""
-    settings = {**MICROSECONDS, **KEEP_BLANKS, **QUOTING, **options}
-    if len(df.columns) == 1:
-        # A null alone on its line would be an empty line, which Spark leaves out.
-        settings.setdefault("nullValue", '""')
-    writer = df.write.mode("overwrite").options(header=header, sep=sep, **settings)
+    """Delimited files. Null is written as ``\\N`` and empty text as ``""``, so that ``read_csv`` tells them apart.
+
+    A text that looks like the mark gets a backslash, which ``read_csv`` takes off again. With
+    ``nullValue`` another text stands for null, and no text is changed.
+    """
+    rows = df if "nullValue" in options else with_marks(df)
+    settings = {**MICROSECONDS, **KEEP_BLANKS, **QUOTING, "nullValue": NULL_MARK, **options}
+    writer = rows.write.mode("overwrite").options(header=header, sep=sep, **settings)
     (writer if compression is None else writer.option("compression", compression)).csv(path)
 
 
@@ -60,10 +79,13 @@ def write_partitioned(
     ``gather`` first brings rows of a folder together, or every task would
     write a small file into every folder. Spark cuts a value that holds more
     rows than one task should write into several tasks (adaptive rebalance), so
-    a value with a third of all rows does not fall to a single writer. Without
+    a value with a third of all rows does not fall to a single writer. That needs adaptive
+    execution; with it off, a warning says that a value has one writer. Without
     ``gather`` there is no shuffle; that suits input already grouped by folder,
     or a handful of folders.
     """
+    if gather and df.sparkSession.conf.get("spark.sql.adaptive.enabled") != "true":
+        warnings.warn("adaptive execution is off: each value is written by one task", stacklevel=2)
     rows = df.hint("rebalance", *by) if gather else df
     writer = rows.write.mode("overwrite").partitionBy(*by)
     (writer if compression is None else writer.option("compression", compression)).parquet(path)

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from peneira.operators.combine import flatten
-from peneira.sources.delimited import QUOTING
+from peneira.sources.delimited import read_csv
+from peneira.sources.structured import inline_rows, read_json, read_parquet
 
 CONCURRENT_LOADS = 4
 
@@ -58,20 +59,41 @@ def bulk_load(
 ) -> DataFrame:
     """Load each entity's files into the table ``schema.<entity>``.
 
-    The report has one row per table: ``table_name``, ``n_rows``, ``n_columns``.
-    Rows are counted from the tables as written.
+    CSV files go through ``read_csv``: a header that does not name the schema's columns in
+    order is an error. The report has one row per table: ``table_name``, ``n_rows``,
+    ``n_columns`` and ``n_rejected``, the rows of a CSV file with a field that is no value of its
+    type or with too many or too few fields; what could be read of them is loaded. Rows are
+    counted while they are written.
     """
 
-    def load(entity: str) -> DataFrame:
-        spec = specs[entity]
-        options = {**(QUOTING if spec.format == "csv" else {}), **spec.options}
-        raw = spark.read.format(spec.format).schema(spec.schema).options(**options).load(spec.path)
-        table = save_table(raw, f"{schema}.{entity}")
-        return table.agg(F.count("*").alias("n_rows")).select(
-            F.lit(entity).alias("table_name"), "n_rows", F.lit(len(table.columns)).alias("n_columns")
-        )
+    def load(entity: str) -> tuple[str, int, int, int]:
+        rows, rejected = _read(spark, specs[entity])
+        seen = Observation()
+        bad = F.lit(0).cast("long") if rejected is None else F.count(F.col(rejected))
+        counted = rows.observe(seen, F.count(F.lit(1)).alias("rows"), bad.alias("rejected"))
+        loaded = counted if rejected is None else counted.drop(rejected)
+        save_table(loaded, f"{schema}.{entity}")
+        return entity, seen.get["rows"], len(loaded.columns), seen.get["rejected"]
 
     _make_schema(spark, schema, schema_location)
     # Small tables load while the last tasks of a large one still run.
     with ThreadPoolExecutor(CONCURRENT_LOADS) as pool:
-        return flatten(list(pool.map(load, specs)))
+        report = list(pool.map(load, specs))
+    return inline_rows(spark, report, "table_name string, n_rows long, n_columns int, n_rejected long")
+
+
+def _read(spark: SparkSession, spec: TableSpec) -> tuple[DataFrame, str | None]:
+    """The entity's rows, and the column that holds the lines which do not fit, if the format has one."""
+    if spec.format == "csv":
+        options = dict(spec.options)
+        header = str(options.pop("header", False)).lower() == "true"
+        rejected = f"rejected_{uuid.uuid4().hex}"
+        lines = f"{spec.schema}, {rejected} string"
+        return read_csv(
+            spark, spec.path, header=header, schema=lines, columnNameOfCorruptRecord=rejected, **options
+        ), rejected
+    if spec.format == "json":
+        return read_json(spark, spec.path, spec.schema, **spec.options), None
+    if spec.format == "parquet":
+        return read_parquet(spark, spec.path, spec.schema), None
+    return spark.read.format(spec.format).schema(spec.schema).options(**spec.options).load(spec.path), None

@@ -2,17 +2,26 @@
 
 from __future__ import annotations
 
+import csv
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
+from peneira.functions.names import named
 from peneira.functions.text import split_on
-from peneira.sources.lines import read_lines
+from peneira.sources.lines import without_first_lines
 
 # A doubled quote inside a quoted field stands for one quote.
 QUOTING = {"quote": '"', "escape": '"'}
 
 
+# Stands for null in files, so that empty text stays text. A text that looks like the mark,
+# after any number of backslashes, is written with one backslash more.
+NULL_MARK = "\\N"
+LOOKS_LIKE_NULL = r"^\\+N$"
+
+
 def read_csv(
     spark: SparkSession,
     path: str | list[str],
@@ -31,19 +40,66 @@ def read_csv(
     does not name the schema's columns in order is an error. Compressed files
     are recognised by their ending.
 
+    An empty field and ``\\N`` are null, a quoted empty field is empty text, and what
+    ``write_csv`` wrote comes back as it was; ``nullValue`` sets another text for null.
     Text with line breaks inside quotes needs ``multiLine=True``, which makes
     each file one task, and ``lineSep="\\n"`` if its carriage returns are to stay.
     """
-    reader = spark.read.options(header=header, sep=sep, **{**QUOTING, **options})
+    settings = {**QUOTING, "nullValue": NULL_MARK, **options}
+    reader = spark.read.options(header=header, sep=sep, **settings)
     if schema is None:
-        return reader.option("inferSchema", True).csv(path)
-    return reader.schema(schema).option("enforceSchema", not header).csv(path)
+        rows = reader.option("inferSchema", True).csv(path)
+    else:
+        rows = reader.schema(schema).option("enforceSchema", not header).csv(path)
+    return rows if "nullValue" in options else _without_marks(rows)
+
+
+def _without_marks(rows: DataFrame) -> DataFrame:
+    """Takes the added backslash off texts that look like the null mark."""
+
+    def text(name: str) -> Column:
+        own = named(name)
+        marked = own.startswith("\\\\") & own.rlike(LOOKS_LIKE_NULL)
+        return F.when(marked, F.substring(own, F.lit(2), F.length(own))).otherwise(own).alias(name)
+
+    return rows.select(*(text(f.name) if isinstance(f.dataType, StringType) else named(f.name) for f in rows.schema))
+
+
+def with_marks(rows: DataFrame) -> DataFrame:
+    """Adds a backslash to texts that look like the null mark."""
+
+    def text(name: str) -> Column:
+        own = named(name)
+        like = own.startswith("\\") & own.rlike(LOOKS_LIKE_NULL)
+        return F.when(like, F.concat(F.lit("\\"), own)).otherwise(own).alias(name)
+
+    return rows.select(*(text(f.name) if isinstance(f.dataType, StringType) else named(f.name) for f in rows.schema))
+
+
+# In the order in which they are tried for text whose type is to be inferred.
+INFERRED = ("int", "bigint", "double", "date", "timestamp", "boolean")
+
+
+def infer_types(rows: DataFrame) -> DataFrame:
+    """The text columns converted to the first type of ``INFERRED`` that all their texts are values of."""
+    fits = [
+        F.count_if(named(c).isNotNull() & named(c).try_cast(kind).isNull()).alias(f"{i}_{kind}")
+        for i, c in enumerate(rows.columns)
+        for kind in INFERRED
+    ]
+    some = [F.count(named(c)).alias(f"{i}_n") for i, c in enumerate(rows.columns)]
+    seen = rows.agg(*fits, *some).first()  # one row
+
+    def kind_of(i: int) -> str:
+        return next((k for k in INFERRED if seen[f"{i}_n"] and not seen[f"{i}_{k}"]), "string")
+
+    return rows.select(*(named(c).try_cast(kind_of(i)).alias(c) for i, c in enumerate(rows.columns)))
 
 
 def read_csv_with_preamble(
     spark: SparkSession,
     path: str | list[str],
-    schema: StructType | str,
+    schema: StructType | str | None = None,
     *,
     preamble: int,
     header: bool = True,
@@ -52,13 +108,31 @@ def read_csv_with_preamble(
 ) -> DataFrame:
     """Delimited files with ``preamble`` lines above the header of each file.
 
-    Quoted line breaks are not supported. A line that does not fit the schema
-    gives nulls in the fields that do not.
+    With ``header``, every file's header line must name the schema's columns in order. Without
+    ``schema`` the names come from the header line of the first file, which all must share,
+    and the types are inferred in one more pass. Quoted line breaks are not supported. A
+    line that does not fit the schema gives nulls in the fields that do not.
     """
-    lines = read_lines(spark, path, skip=preamble + int(header))
-    settings = {key: str(value) for key, value in {"sep": sep, **QUOTING, **options}.items()}
-    record = F.from_csv("value", schema if isinstance(schema, str) else schema.toDDL(), settings)
-    return lines.filter(F.trim("value") != "").select(record.alias("record")).select("record.*")
+    lines = spark.read.option("lineSep", "\n").text(path)
+    expect = ""
+    if schema is None:
+        if not header:
+            raise ValueError("without a header, give a schema")
+        first = sorted(lines.inputFiles())[0]
+        head = spark.read.option("lineSep", "\n").text(first).take(preamble + 1)
+        expect = head[-1].value.removeprefix("\ufeff").removesuffix("\r")
+        names = next(csv.reader([expect], delimiter=sep))
+        kind = StructType([StructField(name, StringType()) for name in names])
+    else:
+        kind = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+        if header:
+            expect = sep.join(kind.names)
+    body = without_first_lines(lines, preamble + int(header), expect)
+    settings = {key: str(value) for key, value in {"sep": sep, **QUOTING, "nullValue": NULL_MARK, **options}.items()}
+    record = F.from_csv("value", kind.toDDL(), settings)
+    rows = body.filter(F.trim(F.regexp_replace("value", "\r$", "")) != "").select(record.alias("record")).select("record.*")
+    rows = rows if "nullValue" in options else _without_marks(rows)
+    return infer_types(rows) if schema is None else rows
 
 
 def split_fields(line: Column | str, sep: str, names: list[str]) -> list[Column]:

@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -19,31 +19,42 @@ def read_lines(spark: SparkSession, path: str | list[str], skip: int = 0) -> Dat
     leaves out that many lines at the start of *each file*.
     """
     lines = spark.read.option("lineSep", "\n").text(path)
-    rows = lines if skip == 0 else _without_first_lines(lines, skip)
-    line = F.col("value")
-    cut = F.when(line.endswith("\r"), F.substring(line, F.lit(1), F.length(line) - 1)).otherwise(line)
-    return rows.select(cut.alias("value"))
+    return without_first_lines(lines, skip).select(_cut_return(F.col("value")).alias("value"))
 
 
-def _without_first_lines(lines: DataFrame, skip: int) -> DataFrame:
-    """Drop the first ``skip`` lines of each file in one scan, without a shuffle.
+def _cut_return(line: Column) -> Column:
+    return F.when(line.endswith("\r"), F.substring(line, F.lit(1), F.length(line) - 1)).otherwise(line)
 
-    Only the first split of a file can hold its first lines, and Spark hands a
-    task the rows of a split in file order. Rows of later splits carry no file
-    path and pass through untouched.
+
+def without_first_lines(lines: DataFrame, skip: int, expect: str = "") -> DataFrame:
+    """Drop the first ``skip`` lines of each file, without a shuffle.
+
+    With ``expect``, the last line dropped must be that text in every file (a byte order
+    mark and a carriage return do not count).
+
+    Only the first split of a file can hold its first lines, and Spark hands a task the
+    rows of a split in file order. The rows of first splits go through Python, which counts
+    them; those of later splits, most of any large file, stay in the JVM. Both are scans of
+    their own, as reading lines is cheap beside sending them through Python.
     """
+    if skip == 0:
+        return lines.select("value")
     meta = F.col("_metadata")
-    first_split = meta["file_block_start"] == 0
-    marked = lines.select(
+    heads = lines.filter(meta["file_block_start"] == 0).select(
         "value",
-        F.when(first_split, meta["file_path"]).alias("head_of"),
-        (first_split & (meta["file_block_length"] < meta["file_size"])).alias("goes_on"),
+        meta["file_path"].alias("head_of"),
+        (meta["file_block_length"] < meta["file_size"]).alias("goes_on"),
     )
-    return marked.mapInArrow(functools.partial(_drop_heads, skip=skip), "value string")
+    kept = heads.mapInArrow(functools.partial(_drop_heads, skip=skip, expect=expect), "value string")
+    return kept.union(lines.filter(meta["file_block_start"] > 0).select("value"))
+
+
+def _plain(line: str) -> str:
+    return line.removeprefix("\ufeff").removesuffix("\r")
 
 
-def _drop_heads(batches: Iterator[pa.RecordBatch], skip: int) -> Iterator[pa.RecordBatch]:
-    path, seen, goes_on = "", 0, False  # the file whose first split is being read; "" for none
+def _drop_heads(batches: Iterator[pa.RecordBatch], skip: int, expect: str) -> Iterator[pa.RecordBatch]:
+    path, seen, goes_on = "", 0, False  # the file whose first split is being read
 
     def check() -> None:
         if path and goes_on and seen < skip:
@@ -53,7 +64,7 @@ def _drop_heads(batches: Iterator[pa.RecordBatch], skip: int) -> Iterator[pa.Rec
         lines = batch.select(["value"])
         if lines.num_rows == 0:
             continue
-        heads = batch.column("head_of").fill_null("")
+        heads = batch.column("head_of")
         changes = pc.not_equal(heads.slice(1), heads.slice(0, len(heads) - 1))
         starts = [0, *(np.flatnonzero(changes.to_numpy(zero_copy_only=False)) + 1).tolist()]
         keep = None
@@ -62,9 +73,14 @@ def _drop_heads(batches: Iterator[pa.RecordBatch], skip: int) -> Iterator[pa.Rec
             if this != path:
                 check()
                 path, seen, goes_on = this, 0, batch.column("goes_on")[start].as_py()
-            if path and seen < skip:
+            if seen < skip:
                 keep = np.ones(len(heads), dtype=bool) if keep is None else keep
-                keep[start : min(end, start + skip - seen)] = False
+                stop = min(end, start + skip - seen)
+                keep[start:stop] = False
+                if expect and seen + stop - start == skip:
+                    header = _plain(lines.column(0)[stop - 1].as_py())
+                    if header != expect:
+                        raise ValueError(f"the header of {path} is {header!r} and not {expect!r}")
             seen += end - start
         yield lines if keep is None else lines.filter(pa.array(keep))
     check()

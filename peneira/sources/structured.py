@@ -7,21 +7,19 @@ import operator
 from collections.abc import Mapping, Sequence
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-INLINE_LIMIT = 100_000
-
+from peneira.functions.names import named
 
 def inline_rows(spark: SparkSession, rows: Sequence[tuple], schema: StructType | str) -> DataFrame:
     """Rows written in the program, such as a lookup list. Not for data sets.
 
-    They become part of the plan, so Spark knows their size when it joins them.
+    They become part of the plan, so Spark knows their size when it joins them, and
+    are held in the driver's memory: long lists belong in a file.
     """
-    if len(rows) > INLINE_LIMIT:
-        raise ValueError(f"{len(rows)} inline rows: write them to a file and read that instead")
     fields = StructType.fromDDL(schema) if isinstance(schema, str) else schema
     columns = zip(*rows) if rows else ([] for _ in fields)
     arrow = to_arrow_schema(fields)
@@ -61,11 +59,30 @@ def read_partition(
 ) -> DataFrame:
     """The rows of one partition, by one or more partition columns.
 
-    The filter is on the partition columns, so only the matching folders are
-    listed and read, and the columns stay in the result.
+    ``values`` in the order of the folders, from the root: only the folder they lead to is
+    listed and read, and the columns stay in the result. If there is no such folder, since
+    the order is another or the first columns are missing, the whole tree is listed and
+    filtered, with the same rows as result.
     """
-    wanted = (F.col(c).isNull() if value is None else F.col(c) == value for c, value in values.items())
-    return read_parquet(spark, root, schema).filter(functools.reduce(operator.and_, wanted))
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    folder = "/".join([root.rstrip("/"), *(f"{c}={_folder_value(value)}" for c, value in values.items())])
+    try:
+        rows = reader.option("basePath", root).parquet(folder)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        rows = reader.parquet(root)
+    wanted = (named(c).isNull() if value is None else named(c) == value for c, value in values.items())
+    return rows.filter(functools.reduce(operator.and_, wanted))
+
+
+def _folder_value(value: object) -> str:
+    """A partition value as Spark writes it in a folder's name."""
+    if value is None:
+        return "__HIVE_DEFAULT_PARTITION__"
+    text = str(value).lower() if isinstance(value, bool) else str(value)
+    special = '"#%\'*/:=?\\\x7f{[]^'
+    return "".join(f"%{ord(c):02X}" if c in special or ord(c) < 32 else c for c in text)
 
 
 def spread(df: DataFrame, *columns: str) -> DataFrame:

@@ -72,7 +72,7 @@ def test_late_minutes_and_flights_when_the_first_line_is_skipped(spark, flights_
     assert pairs(sums) == {**LATE, "LAX": 92}
     assert pairs(counts) == {"DFW": 1, "HNL": 1, "JFK": 4, "LAX": 4, "OGG": 1}
     named = lambda df: df.toDF("key", "value")
-    grouped = co_group({"counts": named(counts), "sums": named(sums)}).collect()
+    grouped = co_group({"counts": named(counts), "sums": named(sums)}, 100).collect()
     assert {r.key: (r.counts, r.sums) for r in grouped}["JFK"] == ([4], [220])
     assert len(grouped) == 5
     together = summary_per_key(late, "destination", "delay")

@@ -32,10 +32,10 @@ from peneira.operators.aggregates import (
     sum_per_key,
     summary_per_key,
 )
-from peneira.operators.combine import co_group, flatten
+from peneira.operators.combine import align, co_group, flatten, tagged_rows
 from peneira.operators.nulls import cast_then_fill, fill, fill_then_cast, with_defaults
 from peneira.operators.profile import table_profile
-from peneira.operators.projections import at, cast_with_rejects, explode_tokens, key_value, rename
+from peneira.operators.projections import at, cast_with_rejects, explode_tokens, key_value, rename, with_cast
 from peneira.sources import inline_rows
 
 
@@ -118,6 +118,34 @@ def test_keep_listed_short_and_long_agree(spark):
     assert values(keep_listed(df, "k", spark.range(0, 4000, 2))) == values(keep_listed(df, "k", long))
 
 
+@pytest.mark.parametrize("n", [1_000, 1_001, 100_001])
+def test_keep_listed_of_any_length(spark, n):
+    df = spark.range(120_000).select(F.col("id").cast("string").alias("a.b"), F.lit(1).alias("listed"))
+    assert keep_listed(df, "a.b", [str(i) for i in range(n)]).count() == n
+    assert keep_listed(df, "a.b", list(range(n))).count() == n  # converted to the column's type
+    assert keep_listed(df, "listed", list(range(n))).count() == 120_000
+
+
+def test_keep_listed_values_that_do_not_fit(spark):
+    df = inline_rows(spark, [(1,), (2,), (None,)], "k int")
+    assert values(keep_listed(df, "k", [1.5, 2.0, None])) == [2]
+    assert values(keep_listed(df, "k", ["1", "x", "02"])) == [1]
+    assert values(keep_listed(df, "k", [2**40, 1])) == [1]
+    assert values(keep_listed(df, "k", [None])) == []
+
+
+def test_names_with_full_stops(spark):
+    df = inline_rows(spark, [("A", "7"), (None, "x")], "`a.b` string, `n.n` string")
+    assert df.filter(equals_ignoring_case("a.b", "a")).count() == 1
+    assert df.filter(differs("a.b", "B", keep_null=True)).count() == 2
+    assert values(cast_then_fill(df, "n.n").select("`n.n`")) == [0, 7]
+    assert values(with_cast(df, "n.n").select("`n.n`", "rejected")) == sorted([(7, None), (None, "x")], key=repr)
+    assert cast_with_rejects(df, "n.n")[1].count() == 1
+    assert values(with_defaults(df, {"a.b": "?"}).select("`a.b`")) == ["?", "A"]
+    with pytest.raises(ValueError, match="no such columns"):
+        with_defaults(df, {"c": 1})
+
+
 def test_aggregates(spark):
     df = inline_rows(spark, [("a", 1), ("a", None), ("b", 5), (None, 2)], "k string, v long")
     assert values(sum_per_key(df, "k", "v")) == sorted([("a", 1), ("b", 5), (None, 2)], key=repr)
@@ -137,7 +165,8 @@ def test_aggregates_of_nothing(spark):
     assert values(sum_per_key(df, "k", "v")) == []
     assert values(row_count(df)) == [0]
     assert values(null_counts(df)) == [("k", 0), ("v", 0)]
-    assert co_group({"a": df.selectExpr("k AS key", "v AS value")}).count() == 0
+    assert co_group({"a": df.selectExpr("k AS key", "v AS value")}, 10).count() == 0
+    assert align({"a": df.selectExpr("k AS key", "v AS value")}).count() == 0
 
 
 def test_nulls(spark):
@@ -157,7 +186,7 @@ def test_nulls(spark):
 
 def test_profile(spark):
     df = inline_rows(spark, [("a", 1), ("a", None), (None, 2)], "`odd name` string, v int")
-    expected = [("odd name", 0, "string", 1, 1), ("v", 1, "int", 1, 2)]
+    expected = [("odd name", 0, "string", 1, 1, 3), ("v", 1, "int", 1, 2, 3)]
     assert values(table_profile(df, exact=True)) == expected
     assert values(table_profile(df)) == expected
 
@@ -210,12 +239,22 @@ def test_co_group_with_a_frequent_key(spark, monkeypatch, block_size, broadcast)
         assert blocks["hot"] >= 0.6 * most / block_size
 
 
-def test_co_group_without_look_up(spark):
-    a = inline_rows(spark, [("x", 2), ("x", 1), ("x", 2), (None, None)], "key string, value long")
-    b = inline_rows(spark, [("y", 5)], "key string, value long")
-    assert values(co_group({"a": a, "b": b}, block_size=None)) == sorted(
-        [("x", 0, [1, 2, 2], []), (None, 0, [None], []), ("y", 0, [], [5])], key=repr
+def test_align(spark):
+    a = inline_rows(spark, [("x", 2), (None, None)], "key string, value long")
+    b = inline_rows(spark, [("y", 5), ("x", 7)], "key string, value long")
+    assert values(align({"a": a, "b": b})) == sorted([("x", 2, 7), (None, None, None), ("y", None, 5)], key=repr)
+    with pytest.raises(Exception, match="several values"):
+        align({"a": a.union(a), "b": b}).collect()
+
+
+def test_co_group_of_one_source(spark):
+    rows = inline_rows(spark, [("x", 1), ("x", 2), ("y", 3), (None, 4)], "k string, v long")
+    tagged = tagged_rows(rows, "k", {"odd": (F.col("v") % 2 == 1, "v"), "all": (F.lit(True), "v")})
+    assert values(co_group(tagged, 10, tags=["odd", "all"])) == sorted(
+        [("x", 0, [1], [1, 2]), ("y", 0, [3], [3]), (None, 0, [], [4])], key=repr
     )
+    with pytest.raises(ValueError, match="tags"):
+        co_group(tagged, 10)
 
 
 def test_co_group_of_many_frequent_values_stays_in_bounded_blocks(spark):

@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as entry_points
 from compare import connect, duck_bag, spark_bag
+from peneira.operators.profile import compare_formats
 from peneira.plans.registry import load_all
 
 INVENTORY = (
@@ -21,7 +22,8 @@ INVENTORY = (
     + [f"V{i:02d}" for i in range(1, 6)]
     + ["M01", "M02"]
 )
-QUERIES, SQL = entry_points.queries(), entry_points.oracle_sql()
+QUERIES = {name: q.run for name, q in load_all().items()}
+SQL = {name: q.sql for name, q in load_all().items() if q.sql is not None}
 
 
 @pytest.fixture(scope="module")
@@ -55,13 +57,19 @@ def test_same_as_sql_at_another_scale(spark, name):
     assert spark_bag(QUERIES[name](spark, other)) == duck_bag(connect(other), SQL[name])
 
 
-def test_queries_without_sql():
-    assert set(QUERIES) - set(SQL) == {"prf_format_bytes"}
+def test_every_query_has_its_sql():
+    assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry_points.queries()) and set(SQL) <= set(entry_points.oracle_sql())
 
 
-def test_format_comparison(spark, sf_dir):
-    rows = {(r.format, r.compression): r for r in QUERIES["prf_format_bytes"](spark, sf_dir).collect()}
+def test_format_comparison(spark, sf_dir, folder):
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    rows = {(r.format, r.compression): r for r in compare_formats(lines, folder).collect()}
     assert len(rows) == 6
     assert rows["parquet", "default"].n_bytes < rows["csv", "default"].n_bytes < rows["json", "default"].n_bytes
     assert rows["json", "gzip"].n_bytes < rows["json", "default"].n_bytes
     assert all(r.n_files > 0 and r.scan_seconds > 0 for r in rows.values())
+
+
+def test_blocks_are_met(spark, sf_dir):
+    assert QUERIES["cmb_cogroup_blocks"](spark, sf_dir).filter("block > 0").count() > 0

@@ -109,5 +109,37 @@ def test_combine_holds_few_keys():
 def test_combine_keeps_null_keys_and_types(spark):
     rows = inline_rows(spark, [(None, 1), (None, 2), (5, 3), (5, 4)], "k int, v int")
     got = pf.combine_per_key(rows, "k", "v", sum)
-    assert got.dtypes == [("k", "int"), ("v", "int")]
+    assert got.dtypes == [("k", "int"), ("v", "bigint")]
     assert values(got) == sorted([(None, 3), (5, 7)], key=repr)
+    assert pf.combine_per_key(rows, "k", "v", max, "int").dtypes == [("k", "int"), ("v", "int")]
+
+
+def test_combine_agrees_with_the_named_form(spark):
+    nan = float("nan")
+    big = [(nan, 2**31 - 1), (nan, 1), (0.0, 5), (-0.0, 6), (None, None), (None, 3), (2.0, None), (1.0, 2**31 - 1)]
+    rows = inline_rows(spark, big, "k double, v int").repartition(5)
+    for name, function in (("sum", sum), ("min", min), ("max", max)):
+        got, wanted = pf.combine_per_key(rows, "k", "v", function), pf.combine_per_key(rows, "k", "v", name)
+        assert sorted(map(repr, got.collect())) == sorted(map(repr, wanted.collect()))
+
+
+def test_combine_by_array_keys(spark):
+    rows = inline_rows(spark, [(["a", "b"], 1), (["a", "b"], 2), (["c"], 4), (None, 8)], "k array<string>, v int")
+    got = {tuple(r.k or ()): r.v for r in pf.combine_per_key(rows.repartition(4), "k", "v", sum).collect()}
+    assert got == {("a", "b"): 3, ("c",): 4, (): 8}
+
+
+def test_combine_bounds_what_it_holds_by_bytes():
+    batches = [pa.RecordBatch.from_pydict({"k": [i], "v": ["x" * 1000]}) for i in range(10)]
+    held = pf.HELD_BYTES
+    try:
+        pf.HELD_BYTES = 2000
+        assert len(list(pf._combine(iter(batches), max, by_key=False))) > 3
+    finally:
+        pf.HELD_BYTES = held
+
+
+def test_flat_map_gives_bounded_batches():
+    kind = pa.schema([("i", pa.int64())])
+    batch = pa.RecordBatch.from_pydict({"n": [25_000, 0, 3]})
+    assert [b.num_rows for b in pf._flatten_items(iter([batch]), range, kind)] == [10_000, 10_000, 5_003]

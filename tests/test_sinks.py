@@ -71,8 +71,7 @@ def test_any_text_survives_csv_and_json(spark, rows):
     write_json(df, folder + "/json")
     assert bag(read_json(spark, folder + "/json", df.schema)) == sorted(rows, key=repr)
     write_csv(df, folder + "/csv", header=True)
-    as_csv = [(i, t or None) for i, t in rows]  # CSV has no empty text
-    assert bag(read_csv(spark, folder + "/csv", header=True, schema=df.schema)) == sorted(as_csv, key=repr)
+    assert bag(read_csv(spark, folder + "/csv", header=True, schema=df.schema)) == sorted(rows, key=repr)
 
 
 def test_line_breaks_in_csv(spark, folder):
@@ -88,6 +87,32 @@ def test_a_single_null_column_keeps_its_rows(spark, folder):
     assert bag(read_csv(spark, folder + "/c", header=False, schema=df.schema)) == bag(df)
 
 
+def test_the_null_mark_as_text(spark, folder):
+    rows = [(i, t) for i, t in enumerate([None, "", "\\N", "\\\\N", "N", "\\", "\\Nn", " \\N"])]
+    df = inline_rows(spark, rows, "id int, text string")
+    write_csv(df, folder + "/c")
+    assert bag(read_csv(spark, folder + "/c", header=False, schema=df.schema)) == bag(df)
+    write_csv(df, folder + "/n", nullValue="NULL")
+    back = read_csv(spark, folder + "/n", header=False, schema=df.schema, nullValue="NULL")
+    assert bag(back) == bag(df)
+
+
+def test_text_that_would_break_lines_is_refused(spark, folder):
+    for value in ("a\nb", "a\rb", "a|b"):
+        rows = inline_rows(spark, [(1, value)], "id int, text string")
+        with pytest.raises(Exception, match="line break or separator"):
+            write_text(rows, folder + "/t", sep="|")
+    write_text(rows, folder + "/t", sep="|", strict=False)
+    write_text(rows.select("text"), folder + "/one", sep="|")
+    assert [r.value for r in read_lines(spark, folder + "/one").collect()] == ["a|b"]
+
+
+def test_no_rebalance_without_adaptive_execution(spark, folder):
+    with spark_settings(spark, spark__sql__adaptive__enabled="false"):
+        with pytest.warns(UserWarning, match="adaptive"):
+            write_partitioned(spark.range(3).selectExpr("id", "id AS k"), folder + "/p", ["k"])
+
+
 def test_text_lines(spark, folder):
     write_text(inline_rows(spark, ROWS[:2], SCHEMA).select("id", "n", "name"), folder + "/t", sep="|")
     assert sorted(r.value for r in read_lines(spark, folder + "/t").collect()) == [
@@ -129,5 +154,16 @@ def test_tables_views_and_bulk_load(spark, folder):
         write_csv(spark.range(n).select("id", (F.col("id") * 2).alias("twice")), f"{folder}/{name}", header=True)
         specs[name] = TableSpec(f"{folder}/{name}", "id long, twice long", options={"header": True})
     report = bulk_load(spark, specs, schema)
-    assert bag(report) == [("brands", 9, 2), ("none", 0, 2), ("stores", 3, 2)]
+    assert bag(report) == [("brands", 9, 2, 0), ("none", 0, 2, 0), ("stores", 3, 2, 0)]
     assert bag(spark.table(f"{schema}.stores")) == [(0, 0), (1, 2), (2, 4)]
+
+
+def test_bulk_load_checks_headers_and_counts_rejects(spark, folder):
+    schema = "peneira_test_" + uuid.uuid4().hex[:8]
+    write_text(inline_rows(spark, [("id,name",), ("bad,y",), ("8,z",)], "line string").coalesce(1), folder + "/x")
+    swapped = TableSpec(folder + "/x", "name string, id int", options={"header": True})
+    with pytest.raises(Exception, match="does not conform"):
+        bulk_load(spark, {"x": swapped}, schema, f"{folder}/{schema}")
+    fitting = TableSpec(folder + "/x", "id int, name string", options={"header": True})
+    assert bag(bulk_load(spark, {"x": fitting}, schema, f"{folder}/{schema}")) == [("x", 2, 2, 1)]
+    assert bag(spark.table(f"{schema}.x")) == sorted([(None, "y"), (8, "z")], key=repr)

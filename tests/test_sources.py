@@ -4,7 +4,9 @@ import gzip
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
+from peneira.sources.delimited import infer_types
 from peneira.sources import (
     inline_rows,
     read_csv,
@@ -81,6 +83,30 @@ def test_preamble_compressed_and_plain(spark, folder):
     assert sorted(map(tuple, rows), key=str) == sorted([(1, "a"), (2, None), (None, "b")] * 2, key=str)
 
 
+def test_preamble_header_is_checked_or_taken(spark, folder):
+    put(folder, "a.csv", "Updated: today\r\nname;id\r\na;7\r\nb;8\r\n")
+    put(folder, "b.csv", "Updated: now\nname;id\nc;9\n")
+    with pytest.raises(Exception, match="the header of"):
+        read_csv_with_preamble(spark, folder, "id int, name string", preamble=1, sep=";").collect()
+    rows = read_csv_with_preamble(spark, folder, preamble=1, sep=";")
+    assert rows.dtypes == [("name", "string"), ("id", "int")]
+    assert sorted(map(tuple, rows.collect())) == [("a", 7), ("b", 8), ("c", 9)]
+    put(folder, "c.csv", "Updated: now\nid;name\n9;c\n")
+    with pytest.raises(Exception, match="the header of"):
+        read_csv_with_preamble(spark, folder, preamble=1, sep=";").collect()
+
+
+def test_inferred_types(spark):
+    rows = inline_rows(
+        spark,
+        [("1", "1", "1.5", "2024-01-02", "true", "x", None), ("-2", "5000000000", "2", None, "false", "1", None)],
+        "a string, b string, c string, d string, e string, `f.g` string, h string",
+    )
+    assert [kind for _, kind in infer_types(rows).dtypes] == [
+        "int", "bigint", "double", "date", "boolean", "string", "string",
+    ]
+
+
 def test_csv_mark_crlf_accents_and_quotes(spark, folder):
     put(folder, "a.csv", '﻿id,name\r\n1,José\r\n2,"a ""b"", c"\r\n3,\r\n')
     rows = read_csv(spark, folder, header=True, schema="id int, name string").collect()
@@ -131,10 +157,29 @@ def test_partition_values_keep_their_type(spark, folder):
     ]
 
 
-def test_inline_rows_are_for_lookups(spark):
+def test_only_the_partitions_folder_is_listed(spark, folder):
+    rows = spark.range(600).select("id", (F.col("id") % 3).cast("string").alias("a"), (F.col("id") % 2 == 0).alias("b"))
+    write_partitioned(rows, folder + "/p", ["a", "b"])
+    one = read_partition(spark, folder + "/p", {"a": "1", "b": True}, rows.schema)
+    assert one.count() == 100 and one.columns == rows.columns
+    assert one.inputFiles() and all("/a=1/b=true/" in f for f in one.inputFiles())
+    assert len(one.inputFiles()) < len(read_parquet(spark, folder + "/p", rows.schema).inputFiles())
+    assert read_partition(spark, folder + "/p", {"b": True}, rows.schema).count() == 300  # not from the root: filtered
+    assert read_partition(spark, folder + "/p", {"a": "7"}, rows.schema).count() == 0
+
+
+def test_null_and_odd_partition_values(spark, folder):
+    rows = inline_rows(spark, [(1, "a/b"), (2, None), (3, "x=y %")], "id int, k string")
+    write_partitioned(rows, folder + "/p", ["k"])
+    for i, value in ((1, "a/b"), (2, None), (3, "x=y %")):
+        found = read_partition(spark, folder + "/p", {"k": value}, rows.schema)
+        assert [tuple(r) for r in found.collect()] == [(i, value)]
+        assert len(found.inputFiles()) == 1
+
+
+def test_inline_rows(spark):
     assert inline_rows(spark, [], "a int, b string").collect() == []
-    with pytest.raises(ValueError, match="inline"):
-        inline_rows(spark, [(1,)] * 100_001, "a int")
+    assert inline_rows(spark, [(1,)] * 100_001, "a int").count() == 100_001
 
 
 def test_spread_keeps_every_row(spark):

@@ -25,3 +25,14 @@ def test_a_cluster_without_shared_folder_is_refused():
 
 def test_a_local_session_gets_a_temporary_folder():
     assert workspace.new_folder(Session(spark__master="local[2]"), "raw").count("peneira") >= 2
+
+
+def test_folders_can_be_dropped(spark):
+    path = workspace.new_folder(spark, "drop")
+    spark.range(3).write.parquet(path)
+    other = Session(spark__checkpoint__dir=workspace.shared_root(spark), spark__app__id="another-application")
+    other.sparkContext = spark.sparkContext
+    spark.range(3).write.parquet(workspace.new_folder(other, "drop"))
+    assert workspace.drop_folders(other) is True
+    assert workspace.drop_folders(other) is False
+    assert spark.read.parquet(path).count() == 3  # that of this application stays
