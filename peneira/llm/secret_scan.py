@@ -20,6 +20,7 @@ SAMPLE = 1500  # credentials of each kind, and ordinary runs, that automata are
 SAMPLE_CHARS = 200  # longest of them
 CONFIDENCE = 0.05  # of the Hoeffding bound that two states differ
 MARGIN = 1.0  # bits a character by which a format must explain a run better than ordinary text does
+TYPICAL = 0.99  # share of a format's own credentials that need at most as many bits as a run may
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-"
 
 ASSIGN = re.compile(
@@ -208,21 +209,30 @@ def cost(states: list[dict[str, tuple[float, int]]], word: str) -> float:
     return bits + states[at][""][0]
 
 
-def learn_formats(docs: DataFrame, text: str = "text", size: int = SAMPLE) -> dict[str, list]:
-    """An automaton for each kind that occurs and one for ordinary runs; empty if there is nothing to learn."""
-    learned = {kind: learn_automaton(words) for kind, words in labelled_sample(docs, text, size).items()}
-    return {kind: states for kind, states in learned.items() if states}
+def learn_formats(docs: DataFrame, text: str = "text", size: int = SAMPLE) -> dict[str, tuple[list, float]]:
+    """For each kind that occurs, and for ordinary runs, an automaton and the bits a character that are typical of it."""
+    formats = {}
+    for kind, words in labelled_sample(docs, text, size).items():
+        if (states := learn_automaton(words)) is not None:
+            own = sorted(cost(states, w) / len(w) for w in words if set(w) <= set(ALPHABET))
+            formats[kind] = (states, own[int(TYPICAL * (len(own) - 1))] if own else 0.0)
+    return formats
 
 
-def gain(formats: dict[str, list], word: str) -> float:
-    """Bits a character that the best format saves against ordinary text (or evenly drawn characters)."""
-    plain = formats.get(ORDINARY)
-    own = [cost(states, word) for kind, states in formats.items() if kind != ORDINARY]
-    even = (len(word) + 1) * math.log2(len(ALPHABET) + 1)
-    return (min(even, cost(plain, word) if plain else even) - min(own)) / len(word) if own else -math.inf
+def fits_a_format(formats: dict[str, tuple[list, float]], word: str) -> bool:
+    """Whether a format explains the word as well as its own credentials, and by ``MARGIN`` better than ordinary text.
+
+    Where there is no ordinary text to compare with, evenly drawn characters take its place.
+    """
+    plain = cost(formats[ORDINARY][0], word) if ORDINARY in formats else (len(word) + 1) * math.log2(len(ALPHABET) + 1)
+    for kind, (states, typical) in formats.items():
+        bits = cost(states, word)
+        if kind != ORDINARY and bits <= typical * len(word) and plain - bits >= MARGIN * len(word):
+            return True
+    return False
 
 
-def _finder(spark, formats: dict[str, list]):
+def _finder(spark, formats: dict[str, tuple[list, float]]):
     shared = spark.sparkContext.broadcast(formats)
     known: dict[str, bool] = {}
 
@@ -235,7 +245,7 @@ def _finder(spark, formats: dict[str, list]):
             if word not in known:
                 if len(known) > 200_000:
                     known.clear()
-                known[word] = gain(shared.value, word) >= MARGIN
+                known[word] = fits_a_format(shared.value, word)
             if known[word]:
                 found.append((a, b, 3))
         return text, sorted(found, key=lambda s: (s[0], s[2]))
@@ -243,13 +253,13 @@ def _finder(spark, formats: dict[str, list]):
     return spans_of
 
 
-def scan(docs: DataFrame, formats: dict[str, list], doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def scan(docs: DataFrame, formats: dict[str, tuple[list, float]], doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Every row's ``doc_id`` and ``spans``: an array of (kind, start, end), by start, then kind.
 
     Offsets count code points, ends are exclusive. ``assign``, ``access`` and ``hex`` are the
     pattern matches, leftmost and not overlapping within a kind. ``format`` is a run of 16 or
-    more credential characters that overlaps no pattern match and that an automaton explains
-    better than ordinary text by ``MARGIN`` bits a character. Null and empty texts have no spans.
+    more credential characters that overlaps no pattern match and whose likelihood under a learned
+    automaton is that of credentials, see ``fits_a_format``. Null and empty texts have no spans.
     """
     spans_of = _finder(docs.sparkSession, formats)
     kind = docs.schema[doc_id].dataType.simpleString()
@@ -267,7 +277,7 @@ def scan(docs: DataFrame, formats: dict[str, list], doc_id: str = "doc_id", text
     return rows.mapInArrow(work, f"doc_id {kind}, spans array<struct<kind: string, start: bigint, end: bigint>>")
 
 
-def redact(docs: DataFrame, formats: dict[str, list], text: str = "text", mark: str = "[secret]") -> DataFrame:
+def redact(docs: DataFrame, formats: dict[str, tuple[list, float]], text: str = "text", mark: str = "[secret]") -> DataFrame:
     """All rows and columns, with ``mark`` in place of every span; overlapping spans get one mark."""
     spans_of = _finder(docs.sparkSession, formats)
     place = docs.columns.index(text)

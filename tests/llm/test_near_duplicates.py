@@ -1,0 +1,106 @@
+from __future__ import annotations
+
+import itertools
+import random
+import re
+
+import numpy as np
+import pytest
+import xxhash
+from conftest import bag
+
+from peneira.llm import near_duplicates as nd
+from peneira.llm.components import least_reachable
+
+
+def brute_fingerprint(text: str | None) -> int:
+    lowered = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    words = re.findall(r"[^\x20\x09-\x0D]+", lowered)
+    if not words:
+        return 0
+    shingles = [" ".join(words[i : i + 4]) for i in range(max(1, len(words) - 3))]
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def brute_components(values: list[int], radius: int) -> dict[int, int]:
+    least = {v: v for v in values}
+    for _ in values:
+        for a, b in itertools.combinations(least, 2):
+            if ((a ^ b) & (1 << 64) - 1).bit_count() <= radius:
+                least[a] = least[b] = min(least[a], least[b])
+    return least
+
+
+def test_fingerprints(rows):
+    for _, text in rows:
+        assert nd.fingerprint((text or "").encode()) == brute_fingerprint(text)
+
+
+def test_masks_cover_every_pair_within_the_radius():
+    for radius, bits in ((1, 8), (2, 12), (4, 16)):
+        masks = nd.covering_masks(radius, bits)
+        for places in itertools.combinations(range(bits), radius):
+            difference = sum(1 << p for p in places)
+            assert any(not mask & difference for mask in masks)
+    masks = nd.covering_masks()
+    assert len(masks) == 31
+    dice = random.Random(1)
+    for _ in range(20_000):
+        difference = sum(1 << p for p in dice.sample(range(64), 4))
+        assert any(not mask & difference for mask in masks)
+
+
+@pytest.mark.parametrize("chunk", [4096, 3])
+def test_links_connect_what_all_pairs_connect(spark, chunk):
+    dice = random.Random(2)
+    centres = [dice.getrandbits(64) for _ in range(12)]
+    values = {0, (1 << 64) - 1}
+    for c in centres:
+        for _ in range(25):
+            values.add(c ^ sum(1 << p for p in dice.sample(range(64), dice.randint(0, 5))))
+    signed = [v - (1 << 64) if v >> 63 else v for v in sorted(values)]
+    fps = spark.createDataFrame([(v,) for v in signed], "fp bigint")
+    links = nd.close_fingerprints(fps, chunk=chunk)
+    assert links.count() <= 31 * len(signed) * (1 if chunk > 100 else 20)
+    for a, b in links.collect():
+        assert ((a ^ b) & (1 << 64) - 1).bit_count() <= 4
+    found = {r.node: r.least for r in least_reachable(links).collect()}
+    assert {v: found.get(v, v) for v in signed} == brute_components(signed, 4)
+
+
+def test_spanning_links_are_few():
+    values = np.arange(4096, dtype=np.uint64) & np.uint64(15)
+    left, right = nd.spanning_links(values, 4)
+    assert len(left) == 4095 and len(set(right)) == 4095
+
+
+def test_components_of_a_long_chain_and_a_star(spark):
+    chain = [(i, i + 1) for i in range(300)]
+    star = [(1000, i) for i in range(1001, 1400)]
+    found = least_reachable(spark.createDataFrame(chain + star + [(5, 5)], "a bigint, b bigint"))
+    assert {r.node: r.least for r in found.collect()} == {**{i: 0 for i in range(1, 301)}, **{i: 1000 for i in range(1001, 1400)}}
+    assert least_reachable(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
+def test_near_duplicates(documents, clashing, rows):
+    found = nd.near_duplicates(documents)
+    fps = {t: brute_fingerprint(t) for _, t in rows}
+    least = brute_components(sorted(set(fps.values())), 4)
+    ids: dict[int, int] = {}
+    for i, t in rows:
+        if i is not None:
+            ids[least[fps[t]]] = min(ids.get(least[fps[t]], i), i)
+    wanted = [(i, fps[t] - (1 << 64) if fps[t] >> 63 else fps[t], ids.get(least[fps[t]])) for i, t in rows]
+    assert bag(found) == sorted(wanted, key=repr)
+    assert bag(nd.near_duplicates(clashing)) == bag(found)
+
+
+def test_one_of_each(documents, no_documents):
+    kept = nd.one_of_each(documents)
+    assert kept.columns == documents.columns
+    found = {r.doc_id for r in nd.near_duplicates(documents).filter("doc_id = component_id").collect()}
+    ids = [r.doc_id for r in kept.collect()]
+    assert sorted(i for i in ids if i is not None) == sorted(found)
+    assert ids.count(None) == 2
+    assert nd.one_of_each(no_documents).count() == 0

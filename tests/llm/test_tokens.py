@@ -1,0 +1,150 @@
+"""Tokenising, codes and packing: exact round trips."""
+
+from __future__ import annotations
+
+import random
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+from conftest import bag
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from peneira.llm import packing, token_codes
+from peneira.llm.tokens import _Worker, unit_rule
+
+BYTE, WORD = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "word_bpe_49k.json"))
+
+
+def plain(file: str):
+    made = Tokenizer.from_file(file)
+    made.encode_special_tokens = True
+    return lambda text: made.encode(text or "", add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("kept", [400_000, 50])
+@pytest.mark.parametrize("file", [BYTE, WORD])
+def test_units_give_the_tokenizers_ids(file, rows, kept, monkeypatch):
+    monkeypatch.setattr("peneira.llm.tokens.KNOWN_UNITS", kept)
+    source = open(file, encoding="utf-8").read()
+    assert unit_rule(source)
+    dice = random.Random(4)
+    texts = [t or "" for _, t in rows]
+    texts += ["".join(dice.choice("ab'sStTé́ \n\t.,#1２\x1c\xa0 Σ日🙂|") for _ in range(dice.randint(1, 30))) for _ in range(3000)]
+    whole, worker = plain(file), _Worker(source)
+    for text, ids in zip(texts, worker.encode(texts)):
+        assert np.frombuffer(ids, "<u4").tolist() == whole(text)
+
+
+def test_codes_round_trip_and_random_access():
+    dice = np.random.default_rng(1)
+    for ids in (
+        np.zeros(0, np.uint32),
+        np.array([0, 255, 256, 65535, 65536, 2**32 - 1], np.uint32),
+        (dice.random(5000) ** 4 * 60_000).astype(np.uint32),
+        np.full(1025, 300, np.uint32),
+    ):
+        codes = token_codes.Codes(token_codes.encode_codes(ids))
+        assert len(codes) == len(ids) and codes.read(0, len(ids)).tolist() == ids.tolist()
+        for i in dice.integers(0, len(ids), 50) if len(ids) else []:
+            assert codes[int(i)] == ids[i]
+            j = min(int(i) + int(dice.integers(0, 600)), len(ids))
+            assert codes.read(int(i), j).tolist() == ids[int(i) : j].tolist()
+    with pytest.raises(IndexError):
+        codes[1025]
+    with pytest.raises(ValueError):
+        token_codes.Codes(b"something else")
+
+
+@pytest.mark.parametrize("segment", [1 << 20, 500])
+def test_written_codes(spark, documents, clashing, rows, folder, segment):
+    encode, at, wanted = plain(BYTE), 0, []
+    for i, t in sorted(rows, key=lambda r: (r[0] is not None, r[0], r[1] is not None, r[1])):
+        ids = encode(t) + [2]
+        wanted.append((i, at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        at += len(ids)
+    token_codes.write_codes(clashing, folder + "/codes", BYTE, 2, segment_tokens=segment)
+    found = token_codes.read_codes(spark, folder + "/codes", token_codes.crc32_of)
+    assert bag(found) == sorted(wanted, key=repr)
+    whole = token_codes.read_codes(spark, folder + "/codes").filter("doc_id = 196").first()
+    assert whole.ids == encode(next(t for i, t in rows if i == 196)) + [2]
+
+
+def test_no_documents(spark, no_documents):
+    assert token_codes.coded(no_documents, BYTE, 2).count() == 0
+    assert packing.pack(no_documents, WORD, 1).count() == 0
+
+
+def test_combinations_fill_the_window():
+    counts = np.zeros(16, np.int64)
+    counts[[1, 2, 5, 8, 11, 13, 14]] = 3
+    combos = packing.combinations(16, counts)
+    assert all(sum(c) == 16 and list(c) == sorted(c) for c in combos)
+    assert {(2, 14), (8, 8), (5, 11), (1, 1, 14), (1, 2, 13)} <= set(combos)
+
+
+def test_repeats_fit_the_histogram():
+    counts = np.zeros(2048, np.int64)
+    counts[1000], counts[1048], counts[500], counts[48] = 900, 600, 300, 300
+    combos = packing.combinations(2048, counts)
+    repeats = packing.solve_repeats(counts, combos)
+    rest = counts.astype(float)
+    for combo, x in zip(combos, repeats, strict=True):
+        assert x >= 0
+        for length in combo:
+            rest[length] -= x
+    assert (rest**2).sum() < (counts.astype(float) ** 2).sum() * 0.2
+
+
+def check_pieces(pieces, rows, window: int) -> None:
+    encode = plain(WORD)
+    texts = defaultdict(list)
+    for i, t in rows:
+        texts[i].append(encode(t) + [1])
+    found, sequences = defaultdict(list), defaultdict(list)
+    for p in pieces:
+        ids = np.frombuffer(p.ids, "<u4").tolist()
+        assert len(ids) == p.length > 0
+        sequences[p.sequence_id].append((p.offset, p.length))
+        found[p.doc_id].append((p.start, ids, p.doc_tokens))
+    for i, all_ids in texts.items():
+        copies = len(all_ids)
+        if len({tuple(x) for x in all_ids}) == 1:  # repeated rows are packed as often
+            assert sum(len(ids) for _, ids, _ in found[i]) == copies * len(all_ids[0])
+            if copies == 1:
+                assert sum((ids for _, ids, _ in sorted(found[i])), []) == all_ids[0]
+                assert {n for *_, n in found[i]} == {len(all_ids[0])}
+    assert sorted(sequences) == list(range(len(sequences)))
+    short = []
+    for places in sequences.values():
+        at = 0
+        for offset, length in sorted(places):
+            assert offset == at
+            at += length
+        assert at <= window
+        short += [at] if at < window else []
+    assert len(short) == len(set(short)) and all(n & (n - 1) == 0 for n in short)  # nothing is padded
+    assert len(found) == len(texts)
+
+
+@pytest.mark.parametrize("window", [2048, 32])
+def test_packing(documents, clashing, rows, window):
+    check_pieces(packing.pack(clashing, WORD, 1, window).collect(), rows, window)
+
+
+def test_hot_lengths_fill_windows_whole(spark):
+    """A third of the rows has one text; combinations take most of the ends."""
+    rows = [(i, "a " * (9 if i % 3 else 20)) for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(7)
+    pieces = packing.pack(docs, WORD, 1, 41).collect()
+    check_pieces(pieces, rows, 41)
+    assert len(pieces) < 3200  # hardly any is cut
+
+
+def test_null_and_empty_texts_are_one_token(documents):
+    pieces = packing.pack(documents, WORD, 1).filter("doc_id in (190, 191, 192)").collect()
+    assert [(p.length, p.doc_tokens, p.ids) for p in pieces] == [(1, 1, b"\1\0\0\0")] * 3
+    assert packing.pack(documents, WORD, 1).filter(F.col("doc_id").isNull()).count() >= 2
