@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from peneira.llm.common import stored, texts_of
-from peneira.llm.token_codes import encoder
+from peneira.llm.tokens import encoder
 
 WINDOW = 2048
 SWEEPS = 12  # of the least-squares solver over all combinations

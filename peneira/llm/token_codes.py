@@ -5,7 +5,6 @@ from __future__ import annotations
 import struct
 import zlib
 from collections.abc import Callable, Iterator
-from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -13,7 +12,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from peneira.llm.common import in_chunks, partitions, texts_of
+from peneira.llm.common import partitions, texts_of
+from peneira.llm.tokens import encoder
 from peneira.workspace import new_folder
 
 CHUNK_BITS = 8
@@ -22,34 +22,8 @@ SEGMENT_TOKENS = 1 << 20
 MAGIC = b"DAC1"
 
 
-def encoder(spark: SparkSession, tokenizer_file: str, end_id: int) -> Callable[[list[bytes]], Iterator[np.ndarray]]:
-    """A function that gives the ids of each text and ``end_id`` after them.
-
-    The tokenizer's file is read on the driver and broadcast (a few MB, whatever the corpus). The
-    names of special tokens are ordinary text in a document.
-    """
-    shared = spark.sparkContext.broadcast(Path(tokenizer_file).read_text(encoding="utf-8"))
-    made: list = []
-
-    def encode(raw: list[bytes]) -> Iterator[np.ndarray]:
-        if not made:
-            import os
-
-            from tokenizers import Tokenizer
-
-            os.environ["TOKENIZERS_PARALLELISM"] = "false"
-            made.append(Tokenizer.from_str(shared.value))
-            made[0].encode_special_tokens = True
-        for run in in_chunks([len(t) for t in raw], 1 << 19):
-            texts = [t.decode("utf-8", "replace") for t in raw[run]]
-            for e in made[0].encode_batch_fast(texts, add_special_tokens=False):
-                yield np.append(np.array(e.ids, np.uint32), np.uint32(end_id))
-
-    return encode
-
-
 def encode_codes(ids: np.ndarray) -> bytes:
-    """The file image of a sequence of ids below 2^32.
+    """The file image of a sequence of numbers below 2^64.
 
     Level 0 has the low 8 bits of every id, level 1 the next 8 bits of those ids that have more, and so
     on. Each level is an array of chunks and a bitmap that says which ids go on; the rank directory
@@ -115,13 +89,14 @@ class Codes:
 
     def read(self, start: int, stop: int, level: int = 0) -> np.ndarray:
         """The ids from start to stop: a slice of each level, found by rank."""
-        values = self.chunks[level][start:stop].astype(np.uint32)
+        wide = np.uint64 if len(self.chunks) > 4 else np.uint32
+        values = self.chunks[level][start:stop].astype(wide)
         if stop > start:
             bits = np.unpackbits(self.bitmaps[level][start >> 3 : -(-stop // 8)], bitorder="little")
             more = bits[start & 7 :][: stop - start].astype(bool)
             if more.any():
                 first = self.rank(level, start)
-                values[more] |= self.read(first, first + int(more.sum()), level + 1) << np.uint32(CHUNK_BITS)
+                values[more] |= self.read(first, first + int(more.sum()), level + 1) << wide(CHUNK_BITS)
         return values
 
 
