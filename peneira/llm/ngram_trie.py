@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from peneira.llm.common import partitions, sorted_groups, stored, texts_of
+from peneira.llm.token_codes import Codes, encode_codes
 
 END = b"\n"  # the end token, and the context of a text's first word; no word holds a line break
 WEIGHT = 5.0  # of the single-word probability among the counts after a word
@@ -135,8 +136,10 @@ def trie_image(context: np.ndarray, successor: np.ndarray, count: np.ndarray) ->
     ranks are raised by where the last context's end, which makes the level one ascending
     sequence. Beside them the quantised probabilities count / (occurrences + ``WEIGHT``).
     """
-    order = np.lexsort((successor, context))
-    context, successor, count = context[order], successor[order], count[order]
+    if not (ordered := (context[1:] > context[:-1]) | ((context[1:] == context[:-1]) & (successor[1:] > successor[:-1]))).all():
+        order = np.lexsort((successor, context))
+        context, successor, count = context[order], successor[order], count[order]
+    del ordered
     contexts, first, sizes = np.unique(context, return_index=True, return_counts=True)
     words, rank = np.unique(successor, return_inverse=True)
     totals = np.add.reduceat(count, first) if len(first) else np.zeros(0, np.int64)
@@ -160,11 +163,16 @@ def trie_image(context: np.ndarray, successor: np.ndarray, count: np.ndarray) ->
 
 
 def quantised(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A code of 8 bits for each value and the value of each code: the means of equally full bins."""
+    """A code of 8 bits for each value and the value of each code: the means of bins.
+
+    Half of the bounds make the bins equally full, half equally wide, so that no value is far from its bin's mean.
+    """
     book = np.zeros(CODES)
     if not len(values):
         return np.zeros(0, np.uint8), book
-    bounds = np.unique(np.quantile(values, np.arange(1, CODES) / CODES))
+    half = CODES // 2
+    full = np.quantile(values, np.arange(1, half) / half)
+    bounds = np.unique(np.concatenate([full, np.linspace(values.min(), values.max(), half + 1)[1:]]))
     codes = np.searchsorted(bounds, values, "right").astype(np.uint8)  # at most CODES - 1 bounds
     full = np.bincount(codes, minlength=CODES)
     book[full > 0] = np.bincount(codes, values, minlength=CODES)[full > 0] / full[full > 0]
@@ -196,13 +204,19 @@ class Trie:
         The successor becomes its rank, the rank is raised by the context's start, and the search for it
         must end within the context's pointers.
         """
+        words, at = np.unique(successor, return_inverse=True)
+        rank, known = self.words.successor(words)
+        return self.follow_ranks(number, rank[at], known[at])
+
+    def follow_ranks(self, number: np.ndarray, rank: np.ndarray, known: np.ndarray) -> np.ndarray:
+        """``follow`` for successors whose rank has been looked up."""
         result = np.full(len(number), CODES, np.uint8)
-        rank, known = self.words.successor(successor)
-        at = np.flatnonzero(known & (number >= 0))
-        own = number[at]
-        i, same = self.level.successor(rank[at].astype(np.uint64) + self.raised[own])
-        inside = same & (i >= self.pointers[own].astype(np.int64)) & (i < self.pointers[own + 1].astype(np.int64))
-        result[at[inside]] = self.codes[i[inside]]
+        asked = np.flatnonzero(known & (number >= 0))
+        contexts, own = np.unique(number[asked], return_inverse=True)
+        start, low, high = self.raised[contexts], self.pointers[contexts].astype(np.int64), self.pointers[contexts + 1].astype(np.int64)
+        i, same = self.level.successor(rank[asked].astype(np.uint64) + start[own])
+        inside = same & (i >= low[own]) & (i < high[own])
+        result[asked[inside]] = self.codes[i[inside]]
         return result
 
 
@@ -266,16 +280,14 @@ def _places(
     return shard, local[order], at[order]
 
 
-def _packed(ids: np.ndarray) -> bytes:
-    """Numbers below 2^24 in three bytes, others in four."""
-    raw = ids.astype("<u4").view(np.uint8).reshape(-1, 4)
-    return b"\3" + raw[:, :3].tobytes() if not raw[:, 3].any() else b"\4" + raw.tobytes()
+def _packed(numbers: np.ndarray) -> bytes:
+    """Small numbers in directly addressable codes: about a byte each."""
+    return encode_codes(numbers)
 
 
 def _unpacked(raw: bytes) -> np.ndarray:
-    wide = np.zeros(((len(raw) - 1) // raw[0], 4), np.uint8)
-    wide[:, : raw[0]] = np.frombuffer(raw, np.uint8, offset=1).reshape(-1, raw[0])
-    return wide.view("<u4").ravel().astype(np.int64)
+    codes = Codes(raw)
+    return codes.read(0, len(codes)).astype(np.int64)
 
 
 BUNDLE = "bundle long, shard int, doc_ids array<bigint>, held_out array<boolean>, data binary"
@@ -292,15 +304,11 @@ def _bundle(
     ids = np.concatenate(texts).astype(np.int64)
     hashes = np.fromiter(map(word_hash, known), np.uint64, len(known))
     home = (hashes % np.uint64(shards)).astype(np.int64)
-    order = np.argsort(hashes)  # word numbers follow the hash, so the result does not depend on the texts' order
-    number_of = np.empty(len(order), np.int64)
-    number_of[order] = np.arange(len(order))
-    ids, hashes, home = number_of[ids], hashes[order], home[order]
     byte = (hashes >> np.uint64(40)).astype(np.int64) % MOST_SLICES
     slices = np.array([min(frequent.get(h, 1), shards) for h in hashes.tolist()], np.int64)
     sizes = np.array([len(w) for w in texts], np.int64)
     trained = np.repeat(~np.array(held, bool), sizes)
-    v, w = _bigrams(ids, known_end=number_of[known[END]])
+    v, w = _bigrams(ids, known[END])
     pair = v * len(hashes) + w
     pairs, at = np.unique(pair, return_inverse=True)
     count = np.bincount(at, trained, minlength=len(pairs)).astype(np.int64)
@@ -317,7 +325,7 @@ def _bundle(
             follow = np.searchsorted(pv[places], own, "right") - np.searchsorted(pv[places], own, "left")
             rows.append((s, _pack_parts([hashes[own].tobytes(), _packed(follow), tail[pw[places]].tobytes(), _packed(count[places])])))
     small = np.stack([byte, slices - 1]).astype(np.uint8)
-    documents = _pack_parts([_packed(ids), _packed(sizes), _packed(home), small.tobytes(), struct.pack("<q", int(number_of[known[END]]))])
+    documents = _pack_parts([_packed(ids), _packed(sizes), _packed(home), small.tobytes(), struct.pack("<q", known[END])])
     n = len(rows)
     return pa.RecordBatch.from_arrays(
         [
@@ -392,31 +400,36 @@ def _answers(group: pa.Table, frequent: dict[int, int]) -> tuple[bytes, int, np.
     for b, raw in zip(group.column("bundle").to_pylist(), group.column("data").to_pylist(), strict=True):
         hashes, follow, words, count = _parts(raw)
         asked.append((b, np.frombuffer(hashes, np.uint64), _unpacked(follow), _successors(words), _unpacked(count)))
-    context = np.concatenate([np.repeat(h, follow)[c > 0] for _, h, follow, _, c in asked])
-    successor = np.concatenate([w[c > 0] for _, _, _, w, c in asked])
-    count = np.concatenate([c[c > 0] for *_, c in asked])
-    order = np.lexsort((successor, context))
-    context, successor, count = context[order], successor[order], count[order]
-    changes = (context[1:] != context[:-1]) | (successor[1:] != successor[:-1])
-    first = np.r_[0, np.flatnonzero(changes) + 1] if len(context) else np.zeros(0, np.int64)
-    count = np.add.reduceat(count, first) if len(first) else count
-    image = trie_image(context[first], successor[first], count)
+    # Each context, word and bigram that any bundle asks for, once and in order.
+    contexts, place = np.unique(np.concatenate([h for _, h, *_ in asked]), return_inverse=True)
+    words, word = np.unique(np.concatenate([w for _, _, _, w, _ in asked]), return_inverse=True)
+    pair = np.repeat(place, np.concatenate([f for _, _, f, *_ in asked])) * len(words) + word
+    pairs, at = np.unique(pair, return_inverse=True)
+    del pair, word
+    count = np.bincount(at, np.concatenate([c for *_, c in asked]), minlength=len(pairs)).astype(np.int64)
+    context, word = pairs // max(len(words), 1), pairs % max(len(words), 1)
+    seen = count > 0
+    image = trie_image(contexts[context[seen]], words[word[seen]], count[seen])
     trie, replies = Trie(image), []
-    for b, hashes, follow, words, _ in asked:
-        number, totals = trie.find(hashes)
-        codes = trie.follow(np.repeat(number, follow), words)
-        replies.append((b, _pack_parts([_packed(follow), totals.astype("<u8").tobytes(), codes.tobytes(), trie.book.tobytes()])))
-    return image, int(trie.totals.sum()), np.unique(context[first]), replies
-
-
-def answered(bundled: DataFrame, frequent: dict[int, int]) -> DataFrame:
+    number, totals = trie.find(contexts)
+    rank, known = trie.words.successor(words)
+    codes = trie.follow_ranks(number[context], rank[word], known[word])[at]
+    start = first = 0
+    for b, hashes, _, own, _ in asked:
+        reply = (totals[place[start : start + len(hashes)]], codes[first : first + len(own)])
+        replies.append((b, _pack_parts([_packed(reply[0]), reply[1].tobytes(), trie.book.tobytes()])))
+        start, first = start + len(hashes), first + len(own)
+    return image, int(trie.totals.sum()), contexts[totals > 0], replies
+
+
+def answered(bundled: DataFrame, frequent: dict[int, int], shards: int) -> DataFrame:
     """The bundles' documents as they came, every shard's trie (bundle -1), and its answers to every bundle."""
     spark = bundled.sparkSession
     shared = spark.sparkContext.broadcast(frequent)
     own = F.when(F.col("shard") < 0, F.col("bundle")).otherwise(0).alias("own")
     dealt = (
         bundled.select("*", own)
-        .repartition(partitions(spark), "shard", "own")
+        .repartition(max(partitions(spark), 2 * shards), "shard", "own")
         .sortWithinPartitions("shard", "own", "bundle")
     )
 
@@ -468,11 +481,11 @@ def _score(group: pa.Table, tokens: int, words: int, shards: int) -> dict[str, o
     seen, part, chance = np.zeros(len(home), np.int64), np.zeros(len(pairs)), np.full(len(pairs), -np.inf)
     for r in rows:
         if (s := r["shard"]) >= 0:
-            follow, totals, codes, book = _parts(r["data"])
-            totals = np.frombuffer(totals, "<u8").astype(np.int64)
-            seen[entry[entry_cuts[s] : entry_cuts[s + 1]]] += totals
-            places = by_shard[cuts[s] : cuts[s + 1]]
-            part[places] = np.repeat(totals, _unpacked(follow))
+            totals, codes, book = _parts(r["data"])
+            totals, places = _unpacked(totals), by_shard[cuts[s] : cuts[s + 1]]
+            own = entry[entry_cuts[s] : entry_cuts[s + 1]]
+            seen[own] += totals
+            part[places] = totals[np.searchsorted(own, pv[places])]
             chance[places] = np.r_[np.frombuffer(book, "<f8"), -np.inf][np.frombuffer(codes, np.uint8)]
     # A slice of a frequent word knows its own share of the word's occurrences: brought to all of them.
     after = 10**chance * (part + WEIGHT) / (seen[pv] + WEIGHT)
@@ -512,7 +525,7 @@ def score(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str =
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(1, -(-size // SHARD_BYTES))
     frequent = frequent_words(rows, shards)
-    known = answered(bundles(rows, frequent, shards), frequent)
+    known = answered(bundles(rows, frequent, shards), frequent, shards)
     tries = known.filter("bundle = -1")
     totals = tries.agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens"), F.coalesce(F.sum("words"), F.lit(0)).alias("words")).first()
     often = tries.select(F.explode("doc_ids")).distinct().count()
@@ -520,7 +533,7 @@ def score(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str =
     dealt = (
         known.filter("bundle <> -1")
         .select("bundle", "shard", "doc_ids", "held_out", "data")
-        .repartition(partitions(docs.sparkSession), "bundle")
+        .repartition(max(partitions(docs.sparkSession), shards), "bundle")
         .sortWithinPartitions("bundle", "shard")
     )
 
