@@ -109,6 +109,14 @@ class Quantised:
         return bound + 1e-9 * (norm * other.norm + bound)  # the rounding of these very sums
 
 
+def inner_products(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
+    """In double precision, added component by component in order, so that equal vectors score alike wherever they are."""
+    total = np.zeros(len(vectors))
+    for column, x in zip(vectors.T, query, strict=True):
+        total += column * x
+    return total
+
+
 def _merge(best: dict[int, float], found: Iterator[tuple[int, float]], k: int) -> dict[int, float]:
     """The k best of both; an id that occurs more than once keeps its best score."""
     for i, score in found:
@@ -142,7 +150,7 @@ def nearest_in_tile(
         for n, chosen in enumerate(able):
             at = np.flatnonzero(chosen)
             if len(at):
-                scores = (wide[at] * queries[start + n].astype(np.float64)).sum(axis=1)
+                scores = inner_products(wide[at], queries[start + n].astype(np.float64))
                 if len(at) > k and not repeated:
                     last = np.partition(scores, -k)[-k]
                     at, scores = at[scores >= last], scores[scores >= last]

@@ -5,7 +5,8 @@ import pytest
 from conftest import bag
 from pyspark.sql import functions as F
 
-from peneira.llm import neighbours
+from compare import connect, duck_bag, spark_bag
+from peneira.llm import neighbours, queries
 
 
 def brute(vectors: list[tuple[int, list[float]]], k: int) -> list[tuple]:
@@ -16,7 +17,9 @@ def brute(vectors: list[tuple[int, list[float]]], k: int) -> list[tuple]:
         for own in (v for i, v in rows if i == query):
             for i, v in rows:
                 if i != query and len(v) == len(own):
-                    score = float((np.array(v) * np.array(own)).sum())
+                    score = 0.0
+                    for a, b in zip(v, own, strict=True):
+                        score += a * b
                     best[i] = max(best.get(i, -np.inf), score)
         ranked = sorted(best.items(), key=lambda x: (-x[1], x[0]))[:k]
         result += [(query, rank, i, score) for rank, (i, score) in enumerate(ranked, 1)]
@@ -72,3 +75,9 @@ def test_bounds_hold():
     gap = np.abs(x @ y.T - a.times(b, rows))
     assert (gap <= a.slack(b, rows)).all()
     assert (a.slack(b, rows) < 0.04 * a.norm[:, None] * b.norm).all()
+
+
+def test_same_as_sql(spark, sf_dir):
+    found = spark_bag(queries.op4_nearest(spark, sf_dir))
+    assert found == duck_bag(connect(sf_dir), queries.ORACLE_SQL["op4_nearest"])
+    assert sum(found[1].values()) > 0
