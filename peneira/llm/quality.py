@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import operator
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -11,7 +13,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from peneira.llm.common import stored, texts_of
+from peneira.llm.common import code_points, stored, texts_of
 
 SAMPLE = 12_000  # documents that the scorers are fitted on, by hash of the id
 LABELLED = 20_000  # labelled documents that unwanted terms are learned from, by hash of the id
@@ -30,6 +32,7 @@ FUNCTION_WORDS = """a an and are as at be by for from in is it of on or that the
 der die das den dem und ist im in zu von mit auf für ein eine nicht sich
 de la le les des et en du un une que qui pour dans sur par au
 el los las y del por con para una se es""".split()
+FUNCTION_WORDS = list(dict.fromkeys(FUNCTION_WORDS))
 
 
 @dataclass(frozen=True)
@@ -50,39 +53,66 @@ def with_stems(words: Column) -> Column:
     return F.array_union(words, F.transform(words, lambda w: F.substring(w, 1, STEM)))
 
 
+_CACHE: dict[str, np.ndarray] = {}
+MEASURES = ("letters", "odd", "capitals", "distinct", "again", "common", "stops", "word_chars")
+
+
+def _kinds() -> np.ndarray:
+    """For each code point: 1 a letter, 2 a capital, 3 neither letter, digit, white space nor common punctuation, else 0."""
+    if "kinds" not in _CACHE:
+        kinds = np.zeros(0x110000, np.uint8)
+        for c in map(chr, range(0x110000)):
+            if c.isalpha():
+                kinds[ord(c)] = 2 if c.isupper() else 1
+            elif not (c.isnumeric() or c.isspace() or c in ".,;:!?'\"()-"):
+                kinds[ord(c)] = 3
+        _CACHE["kinds"] = kinds
+    return _CACHE["kinds"]
+
+
+def measures(text: str, terms: dict[str, int]) -> tuple[int, dict[str, float], set[int]]:
+    """Number of words, shares of the text's characters and words, and the lists of ``terms`` that it has a word of."""
+    words = text.lower().split()
+    counts = Counter(words)
+    _, small, capital, odd = np.bincount(_kinds()[code_points(text)], minlength=4).tolist()
+    n, spoken = max(len(words), 1), small + capital
+    lists = set()
+    for word in counts if terms else ():
+        plain = word if word.isalpha() else "".join(filter(str.isalpha, word))
+        lists |= {terms[t] for t in (plain, plain[:STEM]) if t in terms}
+    values = (
+        spoken / max(len(text), 1),
+        odd / max(len(text), 1),
+        capital / max(spoken, 1),
+        len(counts) / n,
+        sum(map(operator.eq, words, words[1:])) / n,
+        sum(counts[w] for w in FUNCTION_WORDS if w in counts) / n,
+        sum(k for w, k in counts.items() if w[-1] in ".!?") / n,
+        spoken / n,
+    )
+    return len(words), dict(zip(MEASURES, values, strict=True)), lists
+
+
 def measured(rows: DataFrame, terms: list[str]) -> DataFrame:
     """Rows (``doc_id``, ``text``) with the measures that the labellers look at; null counts as empty."""
-    text = F.coalesce(F.col("text"), F.lit(""))
-    lists = [terms[k::3] for k in range(3)]
-
-    def held(words: list[str]) -> Column:
-        return F.arrays_overlap("plain", F.array(*map(F.lit, words))) if words else F.lit(False)
-
-    first = rows.select(
-        "doc_id",
-        F.filter(F.split(F.lower(text), BREAKS), lambda w: w != "").alias("words"),
-        F.greatest(F.length(text), F.lit(1)).alias("chars"),
-        F.regexp_replace(text, r"[^\p{L}]+", "").alias("spoken"),
-        F.length(F.regexp_replace(text, r"[\p{L}\p{N}\s.,;:!?'\"()\-]+", "")).alias("odd"),
-    ).select(
-        "*",
-        F.greatest(F.size("words"), F.lit(1)).alias("n"),
-        F.greatest(F.length("spoken"), F.lit(1)).alias("n_spoken"),
-        with_stems(F.transform("words", lambda w: F.regexp_replace(w, r"[^\p{L}]+", ""))).alias("plain"),
-    )
-    return first.select(
-        "doc_id",
-        F.size("words").alias("n_words"),
-        (F.length("spoken") / F.col("chars")).alias("letters"),
-        (F.col("odd") / F.col("chars")).alias("odd"),
-        (F.length(F.regexp_replace("spoken", r"[^\p{Lu}]+", "")) / F.col("n_spoken")).alias("capitals"),
-        (F.size(F.array_distinct("words")) / F.col("n")).alias("distinct"),
-        (F.size(F.filter("words", lambda w, i: w == F.get("words", i - 1))) / F.col("n")).alias("again"),
-        (F.size(F.filter("words", lambda w: w.isin(FUNCTION_WORDS))) / F.col("n")).alias("common"),
-        (F.size(F.filter("words", lambda w: F.substring(w, -1, 1).isin(".", "!", "?"))) / F.col("n")).alias("stops"),
-        (F.col("n_spoken") / F.col("n")).alias("word_chars"),
-        *(held(words).alias(f"terms_{k}") for k, words in enumerate(lists)),
-    )
+    shared = rows.sparkSession.sparkContext.broadcast({t: k % 3 for k, t in enumerate(terms)})
+    kind = rows.schema["doc_id"].dataType.simpleString()
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [measures(t.decode("utf-8", "replace"), shared.value) for t in texts_of(batch.column(1))]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0),
+                    pa.array([n for n, _, _ in found], pa.int64()),
+                    *(pa.array([v[name] for _, v, _ in found], pa.float64()) for name in MEASURES),
+                    *(pa.array([k in lists for _, _, lists in found], pa.bool_()) for k in range(3)),
+                ],
+                names=["doc_id", "n_words", *MEASURES, *(f"terms_{k}" for k in range(3))],
+            )
+
+    columns = [f"doc_id {kind}", "n_words bigint", *(f"{m} double" for m in MEASURES), *(f"terms_{k} boolean" for k in range(3))]
+    return rows.select("doc_id", "text").mapInArrow(work, ", ".join(columns))
 
 
 def quality_labellers() -> list[Labeller]:
