@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from peneira.llm.common import stored, texts_of
-from peneira.llm.tokens import encoder
+from peneira.llm.tokens import KNOWN_UNITS, encoder
 
 WINDOW = 2048
 SWEEPS = 12  # of the least-squares solver over all combinations
@@ -124,14 +124,16 @@ class Layout:
         return pieces
 
 
-def tokenised(docs: DataFrame, tokenizer_file: str, end_id: int, window: int, doc_id: str, text: str) -> DataFrame:
+def tokenised(
+    docs: DataFrame, tokenizer_file: str, end_id: int, window: int, doc_id: str, text: str, known_units: int
+) -> DataFrame:
     """Every row's ids and length, with its place among what its task has read.
 
     ``end`` is the length beyond whole windows, ``rank`` counts the task's earlier rows with the same
     end, ``windows_before`` their whole windows. Written and read back, so that these places hold
     whatever is computed again later.
     """
-    encode = encoder(docs.sparkSession, tokenizer_file, end_id)
+    encode = encoder(docs.sparkSession, tokenizer_file, end_id, known_units)
     kind = docs.schema[doc_id].dataType.simpleString()
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
 
@@ -169,8 +171,9 @@ def tokenised(docs: DataFrame, tokenizer_file: str, end_id: int, window: int, do
 
 
 def pack(
-    docs: DataFrame, tokenizer_file: str, end_id: int, window: int = WINDOW, doc_id: str = "doc_id", text: str = "text"
-) -> DataFrame:
+    docs: DataFrame, tokenizer_file: str, end_id: int, window: int = WINDOW, doc_id: str = "doc_id", text: str = "text",
+    known_units: int = KNOWN_UNITS,
+) -> DataFrame:
     """Every piece: ``doc_id``, ``start``, ``length``, ``doc_tokens``, ``sequence_id``, ``offset``, ``ids`` (little-endian 32 bits).
 
     A document's tokens are its ids and ``end_id``; null and empty texts have ``end_id`` alone.
@@ -181,7 +184,7 @@ def pack(
     one of each smaller power of two. Which of two ends of equal length goes where follows the
     order of reading. Repeated rows are packed as often as they occur.
     """
-    tokens = tokenised(docs, tokenizer_file, end_id, window, doc_id, text)
+    tokens = tokenised(docs, tokenizer_file, end_id, window, doc_id, text, known_units)
     spark = docs.sparkSession
     groups = stored(
         tokens.groupBy("part", "end").agg(

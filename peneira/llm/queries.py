@@ -21,6 +21,8 @@ from peneira.llm import (
 from peneira.llm.common import is_held_out
 from peneira.plans.inputs import table
 
+MANY_UNITS = 700_000  # where tokenising is all that a worker does, it may keep more
+
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from two thirds of those that name one."""
@@ -41,7 +43,7 @@ def op3_token_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Place and digest of every document in files of directly addressable codes."""
     docs = table(spark, sf_dir, "documents")
     file = public_tokenizers.path("byte_bpe_50k.json")
-    return token_codes.coded(docs, file, 2, digest=token_codes.crc32_of).withColumnRenamed("digest", "ids_crc32")
+    return token_codes.coded(docs, file, 2, digest=token_codes.crc32_of, known_units=MANY_UNITS).withColumnRenamed("digest", "ids_crc32")
 
 
 def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,11 +54,12 @@ def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents, packed into windows of 2048 tokens."""
     docs = table(spark, sf_dir, "documents")
-    return packed(docs)
+    return packed(docs, known_units=MANY_UNITS)
 
 
-def packed(docs: DataFrame) -> DataFrame:
-    pieces = packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), 1)
+def packed(docs: DataFrame, **how) -> DataFrame:
+    """The pieces of documents with digests of their ids."""
+    pieces = packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), 1, **how)
     digest = F.crc32("ids").alias("ids_crc32")
     return pieces.select("doc_id", "start", "length", digest, "doc_tokens", "sequence_id", "offset")
 

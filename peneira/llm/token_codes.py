@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from peneira.llm.common import partitions, texts_of
-from peneira.llm.tokens import encoder
+from peneira.llm.tokens import KNOWN_UNITS, encoder
 from peneira.workspace import new_folder
 
 CHUNK_BITS = 8
@@ -105,7 +105,7 @@ SEGMENT = "part int, segment int, first long, n_tokens long, doc_ids array<bigin
 
 def write_codes(
     docs: DataFrame, path: str, tokenizer_file: str, end_id: int, doc_id: str = "doc_id", text: str = "text",
-    segment_tokens: int = SEGMENT_TOKENS,
+    segment_tokens: int = SEGMENT_TOKENS, known_units: int = KNOWN_UNITS,
 ) -> None:
     """Writes every text's ids, and ``end_id`` after each, in ascending id order.
 
@@ -116,7 +116,7 @@ def write_codes(
     segments. Null and empty texts have the end id alone. A document is never split, so a
     larger one makes a larger segment.
     """
-    encode = encoder(docs.sparkSession, tokenizer_file, end_id)
+    encode = encoder(docs.sparkSession, tokenizer_file, end_id, known_units)
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     ordered = rows.repartitionByRange(partitions(docs.sparkSession), "doc_id").sortWithinPartitions("doc_id", "text")
 
@@ -195,8 +195,8 @@ def crc32_of(ids: np.ndarray) -> int:
     return zlib.crc32(ids.astype("<u4").tobytes())
 
 
-def coded(docs: DataFrame, tokenizer_file: str, end_id: int, doc_id: str = "doc_id", text: str = "text", digest=None) -> DataFrame:
+def coded(docs: DataFrame, tokenizer_file: str, end_id: int, doc_id: str = "doc_id", text: str = "text", digest=None, **how) -> DataFrame:
     """``write_codes`` to a new shared folder, then ``read_codes`` from it."""
     path = new_folder(docs.sparkSession, "codes")
-    write_codes(docs, path, tokenizer_file, end_id, doc_id, text)
+    write_codes(docs, path, tokenizer_file, end_id, doc_id, text, **how)
     return read_codes(docs.sparkSession, path, digest)

@@ -16,7 +16,7 @@ from peneira.llm.common import in_chunks
 
 # White space as the tokenizers' patterns know it; fixed values.
 BLANKS = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-KNOWN_UNITS = 700_000  # of each of the two generations that a worker keeps
+KNOWN_UNITS = 200_000  # of each of the two generations that a worker keeps, at about 170 bytes a unit
 JOINED = 2_000  # new units that are encoded at a time
 MARK = "\ue000"
 STOPS = frozenset(".,;:!?")
@@ -49,13 +49,16 @@ class _Worker:
     before it. It is encoded as it stands after a blank or a line break.
     """
 
-    def __init__(self, source: str):
+    def __init__(self, source: str, most: int = KNOWN_UNITS):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(source)
         self.tokenizer.encode_special_tokens = True
         self.blanks = keeps_blanks(source)
+        steps = (json.loads(source).get("normalizer") or {}).get("normalizers", [])
+        self.lowers = any(step.get("type") == "Lowercase" for step in steps)
         self.edge = re.compile(f"[{BLANKS}]").match
+        self.most = most
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
         self.between = "\n" if self.blanks else f" {MARK} "
@@ -90,28 +93,32 @@ class _Worker:
     def _learn(self, units: dict[str, None]) -> dict[str, bytes]:
         """The ids of units that stand alone."""
         known = {u: self.old[u] for u in units if u in self.old}
-        words: dict[str, str] = {}  # what is encoded, and the unit it belongs to
-        with_stop: list[tuple[str, str]] = []
+        words: dict[str, str] = {}  # a unit that others are made of, and the text that is encoded for it
+        made_of: list[tuple[str, str, bytes]] = []
         for u in units:
             if u in known:
                 continue
-            text = u[1:] if u[:1] == "\n" else u
+            text, stop = (u[1:] if u[:1] == "\n" else u), b""
             if len(text) > 1 and text[-1] in STOPS and text[-2].isalpha():
-                with_stop.append((u, u[:-1]))
-                u, text = u[:-1], text[:-1]
-                if u in self.young or u in self.old or u in known:
+                text, stop = text[:-1], self.stops[text[-1]]
+            if self.blanks:
+                part = f"\n{text}" if u[:1] == "\n" else text
+            else:  # case and the place in a line make no difference
+                part = text.lower() if self.lowers and text.isascii() else text
+            if part != u:
+                made_of.append((u, part, stop))
+                if part in self.young or part in known or part in self.old:
                     continue
-            words[u] = f" {text}" if self.blanks and u[:1] != "\n" else text
+            words[part] = f" {text}" if self.blanks and u[:1] != "\n" else part.removeprefix("\n")
         plain = [u for u, text in words.items() if self.between.strip(" ") not in text and (self.blanks or text.strip())]
         known |= zip(plain, self._encoded([words[u] for u in plain]), strict=True)
         for u, text in words.items():
             if u not in known:
                 known[u] = array("I", self._ids(text)).tobytes()
-            if u[:1] == "\n":
+            if self.blanks and u[:1] == "\n":
                 known[u] = self.line + known[u]
-        for u, stem in with_stop:
-            ids = known.get(stem) or self.young.get(stem) or self.old[stem]
-            known[u] = ids + self.stops[u[-1]]
+        for u, part, stop in made_of:
+            known[u] = next(d[part] for d in (known, self.young, self.old) if part in d) + stop
         return known
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
@@ -136,17 +143,19 @@ class _Worker:
                 yield array("I", self._ids(text)).tobytes()
             else:
                 yield b"".join([fresh[u] if x is None else x for u, x in zip(*parts, strict=True)])[len(self.line) :]
-        if len(self.young) + len(fresh) > KNOWN_UNITS:
+        if len(self.young) + len(fresh) > self.most:
             self.young, self.old = {}, self.young
         self.young |= fresh
 
 
-def encoder(spark: SparkSession, tokenizer_file: str, end_id: int) -> Callable[[list[bytes]], Iterator[np.ndarray]]:
+def encoder(
+    spark: SparkSession, tokenizer_file: str, end_id: int, known_units: int = KNOWN_UNITS
+) -> Callable[[list[bytes]], Iterator[np.ndarray]]:
     """A function that gives the ids of each text, as ``tokenizers`` encodes it, and ``end_id`` after them.
 
     The tokenizer's file is read on the driver and broadcast (a few MB, whatever the corpus). The
     names of special tokens are ordinary text in a document. Words repeat, and encoding is the
-    dear part: each worker keeps the ids of units it has met, up to a fixed number.
+    dear part: each worker keeps the ids of units it has met, at most twice ``known_units`` of them.
     """
     source = Path(tokenizer_file).read_text(encoding="utf-8")
     shared, name = spark.sparkContext.broadcast(source), hashlib.sha256(source.encode()).hexdigest()
@@ -156,10 +165,10 @@ def encoder(spark: SparkSession, tokenizer_file: str, end_id: int) -> Callable[[
 
         # Later tasks run in the same worker process: what it knows stays with the library's module.
         workers = vars(tokenizers).setdefault("_peneira_workers", {})
-        if name not in workers:
-            workers[name] = _Worker(shared.value)
+        if (name, known_units) not in workers:
+            workers[name, known_units] = _Worker(shared.value, known_units)
         for run in in_chunks([len(t) for t in raw], 1 << 19):
-            for ids in workers[name].encode([t.decode("utf-8", "replace") for t in raw[run]]):
+            for ids in workers[name, known_units].encode([t.decode("utf-8", "replace") for t in raw[run]]):
                 yield np.append(np.frombuffer(ids, "<u4"), np.uint32(end_id))
 
     return encode

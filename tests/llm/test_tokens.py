@@ -27,14 +27,13 @@ def plain(file: str):
 
 @pytest.mark.parametrize("kept", [400_000, 50])
 @pytest.mark.parametrize("file", [BYTE, WORD])
-def test_units_give_the_tokenizers_ids(file, rows, kept, monkeypatch):
-    monkeypatch.setattr("peneira.llm.tokens.KNOWN_UNITS", kept)
+def test_units_give_the_tokenizers_ids(file, rows, kept):
     source = open(file, encoding="utf-8").read()
     assert keeps_blanks(source) is (file == BYTE)
     dice = random.Random(4)
     texts = [t or "" for _, t in rows]
     texts += ["".join(dice.choice("ab'sStTé́ \n\t.,#1２\x1c\xa0 Σ日🙂|") for _ in range(dice.randint(1, 30))) for _ in range(3000)]
-    whole, worker = plain(file), _Worker(source)
+    whole, worker = plain(file), _Worker(source, kept)
     for text, ids in zip(texts, worker.encode(texts)):
         assert np.frombuffer(ids, "<u4").tolist() == whole(text)
 
