@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from peneira.llm.common import partitions, per_batch, sorted_groups, texts_of
+from peneira.llm.common import partitions, per_batch, sorted_groups, stored, texts_of
 from peneira.llm.components import least_reachable
 
 SHINGLE_WORDS = 4
@@ -155,8 +155,6 @@ def near_duplicates(
     id is never a ``component_id`` unless all ids of the component are null.
     Repeated rows stay repeated. Other columns are ignored.
     """
-    from peneira.llm.common import stored
-
     rows = stored(with_fingerprints(docs, doc_id, text, words), "fingerprints")
     fps = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct")
     reached = least_reachable(close_fingerprints(fps.select("fp"), radius))
@@ -167,9 +165,11 @@ def near_duplicates(
     linked = labels.join(fps, "fp")
     ids = linked.groupBy("least").agg(F.min("first_id").alias("component_id"))
     components = linked.join(ids, "least").select("fp", "component_id")
+    # Stored, so that both sides of the last join are shuffled anew and a frequent fingerprint can be split.
     known = fps.join(components, "fp", "left").select(
         "fp", F.coalesce("component_id", "first_id").alias("component_id")
     )
+    known = stored(known, "components")
     return rows.join(known, "fp").select("doc_id", "fp", "component_id")
 
 
