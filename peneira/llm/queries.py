@@ -17,6 +17,7 @@ from peneira.llm import (
     secret_scan,
     sharding,
     token_codes,
+    url_filter,
 )
 from peneira.llm.common import is_held_out
 from peneira.plans.inputs import table
@@ -119,7 +120,31 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.passages_in(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_quality, op3_token_codes, op4_nearest, op5_packing, op6_lm_scores, op7_secrets, op8_simhash, op9_shards, op10_decontamination)}
+URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block")]
+
+
+def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rule that fits each page's URL, and its verdict."""
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return url_filter.judge(table(spark, sf_dir, "pages"), rules)
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_language_id,
+        op2_quality,
+        op3_token_codes,
+        op4_nearest,
+        op5_packing,
+        op6_lm_scores,
+        op7_secrets,
+        op8_simhash,
+        op9_shards,
+        op10_decontamination,
+        op13_url_filter,
+    )
+}
 ORACLE_SQL: dict[str, str] = {
     "op4_nearest": """WITH usable AS (
   SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
@@ -132,4 +157,16 @@ scored AS (
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM scored)
 SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM ranked WHERE place <= 20""",
+    "op13_url_filter": """WITH rules(h, p, verdict) AS (VALUES
+  ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
+  ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
+tails AS (
+  SELECT row_number() OVER () AS place, page_id,
+    CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS tail FROM pages),
+parts AS (
+  SELECT place, page_id, regexp_extract(tail, '^[^/?#]*([^?#]*)', 1) AS path,
+    translate(regexp_extract(tail, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host FROM tails)
+SELECT page_id, host, path, h || p AS rule, coalesce(verdict, 'allow') AS verdict
+FROM parts LEFT JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)
+QUALIFY row_number() OVER (PARTITION BY place ORDER BY length(h || p) DESC) = 1""",
 }

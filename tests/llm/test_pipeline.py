@@ -9,7 +9,7 @@ from peneira.llm import language, near_duplicates, queries
 
 
 def test_registered():
-    assert {f"op{n}" for n in range(1, 11)} == {name.split("_")[0] for name in queries.QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} == {name.split("_")[0] for name in queries.QUERIES}
     assert set(queries.QUERIES) | {"pipeline"} <= set(entry_points.queries())
     assert [name for name, _ in corpus_pipeline.STAGES] == [
         "language_id", "near_dedup", "decontamination", "secret_redaction", "packing",
