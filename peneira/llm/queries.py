@@ -13,6 +13,7 @@ from peneira.llm import (
     neighbours,
     ngram_trie,
     packing,
+    periodic_runs,
     quality,
     secret_scan,
     sharding,
@@ -120,6 +121,37 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.passages_in(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """``doc_id`` and ``text``, in which a tenth of the documents repeat some words up to their end."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    rows = docs.select("doc_id", "text", F.floor(h / 10).alias("g"), F.when(h % 10 == 0, words).alias("words"))
+    rows = rows.withColumn("n", F.size("words"))
+    rows = rows.withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")).cast("int"))
+    rows = rows.withColumn("p", F.expr("CAST(1 + (n - a) DIV (3 + g % 8) AS INT)"))
+    again = F.expr("slice(flatten(array_repeat(slice(words, a + 1, p), CAST((n - a) DIV p + 1 AS INT))), 1, n - a)")
+    planted = F.array_join(F.concat(F.slice("words", F.lit(1), F.col("a")), again), " ")
+    return rows.select("doc_id", F.when(F.col("n") > 0, planted).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The longest run of every document, and digests of all runs and of the text without their repeats."""
+    found = periodic_runs.find_runs(with_planted_runs(table(spark, sf_dir, "documents")))
+    ranked = F.transform("runs", lambda r: F.struct(r.length.alias("l"), (-r.start).alias("s"), (-r.period).alias("p")))
+    line = lambda r: F.concat(F.concat_ws(",", r.start, r.length, r.period), F.lit("\n"))
+    rows = found.select("*", F.array_max(ranked).alias("best"))
+    return rows.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("best.s")).alias("start"),
+        F.col("best.l").alias("length"),
+        (-F.col("best.p")).alias("period"),
+        F.expr("(1000 * best.l) DIV (-best.p)").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", line), "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block")]
 
 
@@ -142,6 +174,7 @@ QUERIES = {
         op8_simhash,
         op9_shards,
         op10_decontamination,
+        op12_periodic_runs,
         op13_url_filter,
     )
 }

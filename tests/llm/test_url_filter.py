@@ -84,4 +84,4 @@ def test_a_cascade_tells_every_key_of_its_universe(spark, listed, others):
 def test_the_query_agrees_with_sql(spark, folder):
     columns, found = spark_bag(queries.QUERIES["op13_url_filter"](spark, folder))
     assert (columns, found) == duck_bag(connect(folder), queries.ORACLE_SQL["op13_url_filter"])
-    assert len(found) > 100
+    assert len(found) >= 50
