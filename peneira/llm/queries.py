@@ -15,6 +15,7 @@ from peneira.llm import (
     packing,
     periodic_runs,
     quality,
+    ranked_search,
     secret_scan,
     sharding,
     token_codes,
@@ -121,6 +122,11 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.passages_in(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best documents for each benchmark item."""
+    return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def with_planted_runs(docs: DataFrame) -> DataFrame:
     """``doc_id`` and ``text``, in which a tenth of the documents repeat some words up to their end."""
     h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
@@ -174,6 +180,7 @@ QUERIES = {
         op8_simhash,
         op9_shards,
         op10_decontamination,
+        op11_ranked_search,
         op12_periodic_runs,
         op13_url_filter,
     )
@@ -190,6 +197,30 @@ scored AS (
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM scored)
 SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM ranked WHERE place <= 20""",
+    "op11_ranked_search": r"""WITH d AS (
+  SELECT row_number() OVER () AS row, doc_id,
+    regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+i AS (
+  SELECT row_number() OVER () AS item, item_id,
+    unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+sums AS (SELECT count(*) AS n_docs, CAST(sum(len(terms)) AS BIGINT) AS n_terms FROM d WHERE len(terms) > 0),
+tf AS (
+  SELECT row, doc_id, n, term, count(*) AS tf
+  FROM (SELECT row, doc_id, len(terms) AS n, unnest(terms) AS term FROM d) GROUP BY ALL),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM tf, sums GROUP BY term),
+parts AS (
+  SELECT row, doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * n_docs) // n_terms))) AS part
+  FROM tf JOIN weights USING (term), sums),
+scored AS (
+  SELECT item, item_id, row, doc_id, CAST(sum(part) AS BIGINT) AS score
+  FROM i JOIN parts USING (term) GROUP BY ALL HAVING sum(part) > 0),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id) AS place FROM scored)
+SELECT item_id, CAST(place AS INTEGER) AS rank, doc_id, score FROM ranked WHERE place <= 20""",
     "op13_url_filter": """WITH rules(h, p, verdict) AS (VALUES
   ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
   ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
