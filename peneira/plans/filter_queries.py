@@ -101,6 +101,17 @@ def flt_in_long_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keep_listed(table(spark, sf_dir, "customer").select("c_custkey", "c_name"), "c_name", listed)
 
 
+@query(
+    "F09",
+    """SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey IN (
+  SELECT l_orderkey FROM lineitem WHERE l_quantity >= 49 AND l_orderkey BETWEEN 200 AND 20000)""",
+)
+def flt_in_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The list is a table's column; its range reaches the scan of the orders."""
+    large = table(spark, sf_dir, "lineitem").filter((F.col("l_quantity") >= 49) & F.col("l_orderkey").between(200, 20000))
+    return keep_listed(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), "o_orderkey", large.select("l_orderkey"))
+
+
 @query("F10", "SELECT p_partkey, p_name FROM part WHERE p_name LIKE '%ed%'")
 def flt_like_contains(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").filter(F.col("p_name").like("%ed%")).select("p_partkey", "p_name")

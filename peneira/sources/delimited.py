@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import csv
+import functools
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from peneira.functions.names import named
 from peneira.functions.text import split_on
-from peneira.sources.lines import without_first_lines
+from peneira.sources.lines import cut_return, plain_line, without_first_lines
 
 # A doubled quote inside a quoted field stands for one quote.
 QUOTING = {"quote": '"', "escape": '"'}
@@ -20,6 +21,7 @@ QUOTING = {"quote": '"', "escape": '"'}
 # after any number of backslashes, is written with one backslash more.
 NULL_MARK = "\\N"
 LOOKS_LIKE_NULL = r"^\\+N$"
+OWN_MARKS = "_text_like_null_has_a_backslash"  # a file that ``write_csv`` puts beside those it wrote
 
 
 def read_csv(
@@ -29,6 +31,7 @@ def read_csv(
     header: bool,
     schema: StructType | str | None = None,
     sep: str = ",",
+    own_marks: bool | None = None,
     **options: object,
 ) -> DataFrame:
     """Delimited files or folders of part files.
@@ -40,8 +43,10 @@ def read_csv(
     does not name the schema's columns in order is an error. Compressed files
     are recognised by their ending.
 
-    An empty field and ``\\N`` are null, a quoted empty field is empty text, and what
-    ``write_csv`` wrote comes back as it was; ``nullValue`` sets another text for null.
+    An empty field and ``\\N`` are null, a quoted empty field is empty text; ``nullValue`` sets another text for
+    null. What ``write_csv`` wrote comes back as it was: its folders are known by a file in them, and the
+    backslash it put before a text like ``\\N`` is taken off. Files from elsewhere keep such texts as
+    they are. ``own_marks`` says which of the two holds, for files that were moved or for paths of both kinds.
     Text with line breaks inside quotes needs ``multiLine=True``, which makes
     each file one task, and ``lineSep="\\n"`` if its carriage returns are to stay.
     """
@@ -51,7 +56,22 @@ def read_csv(
         rows = reader.option("inferSchema", True).csv(path)
     else:
         rows = reader.schema(schema).option("enforceSchema", not header).csv(path)
-    return rows if "nullValue" in options else _without_marks(rows)
+    if own_marks is None:
+        own_marks = "nullValue" not in options and _written_here(spark, [path] if isinstance(path, str) else path)
+    return _without_marks(rows) if own_marks else rows
+
+
+def _written_here(spark: SparkSession, paths: list[str]) -> bool:
+    """Whether ``write_csv`` wrote these folders, or the folders these files are in."""
+    found = set()
+    for path in map(spark._jvm.org.apache.hadoop.fs.Path, paths):
+        system = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+        for status in system.globStatus(path) or []:
+            folder = status.getPath() if status.isDirectory() else status.getPath().getParent()
+            found.add(bool(system.exists(spark._jvm.org.apache.hadoop.fs.Path(folder, OWN_MARKS))))
+    if len(found) > 1:
+        raise ValueError("some of the folders were written by write_csv and some not: set own_marks, or read them apart")
+    return found == {True}
 
 
 def _without_marks(rows: DataFrame) -> DataFrame:
@@ -108,33 +128,61 @@ def read_csv_with_preamble(
 ) -> DataFrame:
     """Delimited files with ``preamble`` lines above the header of each file.
 
-    With ``header``, every file's header line must name the schema's columns in order. Without
+    With ``header``, every file's header line must name the schema's columns in order, quoted or not. Without
     ``schema`` the names come from the header line of the first file, which all must share,
     and the types are inferred in one more pass. Quoted line breaks are not supported. A
     line that does not fit the schema gives nulls in the fields that do not.
     """
     lines = spark.read.option("lineSep", "\n").text(path)
-    expect = ""
+    settings = {key: str(value) for key, value in {"sep": sep, **QUOTING, "nullValue": NULL_MARK, **options}.items()}
+    # As in read_csv, case counts in names only if the session says so.
+    names_of = functools.partial(header_names, sep=settings["sep"], quote=settings["quote"])
+    check = None
     if schema is None:
         if not header:
             raise ValueError("without a header, give a schema")
         first = sorted(lines.inputFiles())[0]
         head = spark.read.option("lineSep", "\n").text(first).take(preamble + 1)
-        expect = head[-1].value.removeprefix("\ufeff").removesuffix("\r")
-        names = next(csv.reader([expect], delimiter=sep))
-        kind = StructType([StructField(name, StringType()) for name in names])
+        kind = StructType([StructField(name, StringType()) for name in names_of(plain_line(head[-1].value))])
     else:
         kind = StructType.fromDDL(schema) if isinstance(schema, str) else schema
-        if header:
-            expect = sep.join(kind.names)
-    body = without_first_lines(lines, preamble + int(header), expect)
-    settings = {key: str(value) for key, value in {"sep": sep, **QUOTING, "nullValue": NULL_MARK, **options}.items()}
-    record = F.from_csv("value", kind.toDDL(), settings)
+    if header:
+        fold = str if spark.conf.get("spark.sql.caseSensitive") == "true" else str.lower
+        check = functools.partial(_check_header, wanted=kind.names, names_of=names_of, fold=fold)
+    body = without_first_lines(lines, preamble + int(header), check)
+    record = F.from_csv(cut_return(F.col("value")), kind.toDDL(), settings)
     rows = body.filter(F.trim(F.regexp_replace("value", "\r$", "")) != "").select(record.alias("record")).select("record.*")
-    rows = rows if "nullValue" in options else _without_marks(rows)
     return infer_types(rows) if schema is None else rows
 
 
+def header_names(line: str, sep: str, quote: str) -> list[str]:
+    """The fields of a header line, read as CSV: within quotes a separator is text and two quotes are one."""
+    names, rest = [], line
+    while True:
+        name, start = "", rest.lstrip(" ")
+        if quote and start.startswith(quote):
+            inner = start[len(quote) :]
+            while True:
+                part, closed, inner = inner.partition(quote)
+                name += part
+                if not closed or not inner.startswith(quote):
+                    break
+                name, inner = name + quote, inner[len(quote) :]
+            tail, found, rest = inner.partition(sep)
+            name += tail.rstrip(" ")
+        else:
+            name, found, rest = rest.partition(sep)
+        names.append(name)
+        if not found:
+            return names
+
+
+def _check_header(path: str, line: str, wanted: list[str], names_of: Callable, fold: Callable) -> None:
+    names = names_of(line)
+    if list(map(fold, names)) != list(map(fold, wanted)):
+        raise ValueError(f"the header of {path} names {names} and not {wanted}")
+
+
 def split_fields(line: Column | str, sep: str, names: list[str]) -> list[Column]:
     """Positional text fields of a line; a position the line lacks is null."""
     parts = split_on(line, sep)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import functools
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -19,18 +19,18 @@ def read_lines(spark: SparkSession, path: str | list[str], skip: int = 0) -> Dat
     leaves out that many lines at the start of *each file*.
     """
     lines = spark.read.option("lineSep", "\n").text(path)
-    return without_first_lines(lines, skip).select(_cut_return(F.col("value")).alias("value"))
+    return without_first_lines(lines, skip).select(cut_return(F.col("value")).alias("value"))
 
 
-def _cut_return(line: Column) -> Column:
+def cut_return(line: Column) -> Column:
     return F.when(line.endswith("\r"), F.substring(line, F.lit(1), F.length(line) - 1)).otherwise(line)
 
 
-def without_first_lines(lines: DataFrame, skip: int, expect: str = "") -> DataFrame:
+def without_first_lines(lines: DataFrame, skip: int, check: Callable[[str, str], None] | None = None) -> DataFrame:
     """Drop the first ``skip`` lines of each file, without a shuffle.
 
-    With ``expect``, the last line dropped must be that text in every file (a byte order
-    mark and a carriage return do not count).
+    ``check`` is called with every file's path and the last line dropped (without a byte order
+    mark and carriage return), and raises an error if it does not like it.
 
     Only the first split of a file can hold its first lines, and Spark hands a task the
     rows of a split in file order. The rows of first splits go through Python, which counts
@@ -45,15 +45,15 @@ def without_first_lines(lines: DataFrame, skip: int, expect: str = "") -> DataFr
         meta["file_path"].alias("head_of"),
         (meta["file_block_length"] < meta["file_size"]).alias("goes_on"),
     )
-    kept = heads.mapInArrow(functools.partial(_drop_heads, skip=skip, expect=expect), "value string")
+    kept = heads.mapInArrow(functools.partial(_drop_heads, skip=skip, verify=check), "value string")
     return kept.union(lines.filter(meta["file_block_start"] > 0).select("value"))
 
 
-def _plain(line: str) -> str:
+def plain_line(line: str) -> str:
     return line.removeprefix("\ufeff").removesuffix("\r")
 
 
-def _drop_heads(batches: Iterator[pa.RecordBatch], skip: int, expect: str) -> Iterator[pa.RecordBatch]:
+def _drop_heads(batches: Iterator[pa.RecordBatch], skip: int, verify: Callable | None) -> Iterator[pa.RecordBatch]:
     path, seen, goes_on = "", 0, False  # the file whose first split is being read
 
     def check() -> None:
@@ -77,10 +77,8 @@ def _drop_heads(batches: Iterator[pa.RecordBatch], skip: int, expect: str) -> It
                 keep = np.ones(len(heads), dtype=bool) if keep is None else keep
                 stop = min(end, start + skip - seen)
                 keep[start:stop] = False
-                if expect and seen + stop - start == skip:
-                    header = _plain(lines.column(0)[stop - 1].as_py())
-                    if header != expect:
-                        raise ValueError(f"the header of {path} is {header!r} and not {expect!r}")
+                if verify and seen + stop - start == skip:
+                    verify(path, plain_line(lines.column(0)[stop - 1].as_py()))
             seen += end - start
         yield lines if keep is None else lines.filter(pa.array(keep))
     check()

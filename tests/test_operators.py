@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import math
 import random
 from collections import defaultdict
+from decimal import Decimal
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -32,6 +34,7 @@ from peneira.operators.aggregates import (
     sum_per_key,
     summary_per_key,
 )
+from peneira.operators import combine
 from peneira.operators.combine import align, co_group, flatten, tagged_rows
 from peneira.operators.nulls import cast_then_fill, fill, fill_then_cast, with_defaults
 from peneira.operators.profile import table_profile
@@ -126,6 +129,39 @@ def test_keep_listed_of_any_length(spark, n):
     assert keep_listed(df, "listed", list(range(n))).count() == 120_000
 
 
+def test_keep_listed_of_mixed_types(spark):
+    df = inline_rows(spark, [(1,), (2,), (3,), (None,)], "k int")
+    assert values(keep_listed(df, "k", [1, "2", 2.5, 3.0, None, Decimal("2.5"), "x"])) == [1, 2, 3]
+    assert values(keep_listed(df, "k", [Decimal("3"), 2**40])) == [3]
+    texts = inline_rows(spark, [("1",), ("true",), ("x",), (None,)], "t string")
+    assert values(keep_listed(texts, "t", ["x", 1])) == ["1", "x"]
+
+
+@pytest.mark.parametrize("kind", ["byte", "long", "double", "float", "decimal(9,2)", "string", "date", "timestamp", "timestamp_ntz", "boolean", "binary"])
+def test_the_condition_before_the_join_loses_no_row(spark, folder, kind):
+    how = f"CAST(date_add(DATE '2024-03-01', CAST(id AS INT)) AS {kind})" if kind in ("date", "timestamp", "timestamp_ntz") else None
+    how = how or {"boolean": "id % 2 = 0", "binary": "CAST(CAST(id AS STRING) AS BINARY)"}.get(kind, f"CAST(id - 50 AS {kind})")
+    df = spark.range(100).selectExpr(f"CASE WHEN id % 9 > 0 THEN {how} END AS k", "id")
+    df.write.parquet(folder + "/k")
+    df = spark.read.parquet(folder + "/k")
+    for n in (0, 1, 3, 40):
+        listed = df.filter(F.pmod(F.xxhash64("id"), F.lit(100)) < n).select("k")
+        wanted = values(df.join(listed.distinct(), "k", "left_semi"))
+        assert values(keep_listed(df, "k", listed)) == wanted
+        if kind not in ("timestamp", "timestamp_ntz"):  # Python's datetimes are read in the machine's time zone
+            assert values(keep_listed(df, "k", [r.k for r in listed.collect()])) == wanted
+
+
+def test_keep_listed_zeros_and_nan(spark, folder):
+    for k, stored in enumerate((-0.0, 0.0, math.nan, 1.0)):
+        path = f"{folder}/{k}"
+        spark.createDataFrame([(stored,)] * 3, "k double").write.parquet(path)
+        df = spark.read.parquet(path)
+        for listed in ([-0.0], [0.0], [math.nan], [math.nan, 2.0], [0.0, 1.0]):
+            same = any(x == stored or math.isnan(x) and math.isnan(stored) for x in listed)
+            assert keep_listed(df, "k", listed).count() == 3 * same
+
+
 def test_keep_listed_values_that_do_not_fit(spark):
     df = inline_rows(spark, [(1,), (2,), (None,)], "k int")
     assert values(keep_listed(df, "k", [1.5, 2.0, None])) == [2]
@@ -239,6 +275,37 @@ def test_co_group_with_a_frequent_key(spark, monkeypatch, block_size, broadcast)
         assert blocks["hot"] >= 0.6 * most / block_size
 
 
+@pytest.mark.parametrize("full", [True, False])
+def test_frequent_keys_by_sketch_or_by_counting_all(spark, monkeypatch, full):
+    """The same blocks whether the sketch can name the frequent keys or not."""
+    if full:  # as with so many rows that the sketch's error is above a block's size
+        monkeypatch.setattr("peneira.operators.combine.TABLE", 8)
+    rows = spark.range(30_000).select(
+        F.when(F.col("id") % 3 == 0, -1).when(F.col("id") % 50 == 1, None).otherwise(F.col("id") % 7_000).alias("key"),
+        F.col("id").alias("value"),
+    )
+    stored, suspects = combine._stored_with_sketch(rows.withColumn("tag", F.lit("a")), 100)
+    assert (suspects is None) if full else (len(suspects) == 2)
+    sizes = {(r.key, r.block): len(r.a) for r in co_group({"a": rows}, 100).collect()}
+    counts = {r.key: r["count"] for r in rows.groupBy("key").count().collect()}
+    assert {k: sum(n for (key, _), n in sizes.items() if key == k) for k in counts} == counts
+    assert {k for k, block in sizes if block} == {k for k, n in counts.items() if n > 100} == {-1, None}
+    assert max(n for (k, _), n in sizes.items() if k == -1) < 200
+
+
+def test_inputs_of_a_co_group_are_computed_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    rows = spark.range(5000).selectExpr("id % 2 AS key", "id AS value").mapInArrow(counted, "key long, value long")
+    assert co_group({"a": rows}, 100).selectExpr("sum(size(a))").first()[0] == 5000
+    assert seen.value == 5000
+
+
 def test_align(spark):
     a = inline_rows(spark, [("x", 2), (None, None)], "key string, value long")
     b = inline_rows(spark, [("y", 5), ("x", 7)], "key string, value long")

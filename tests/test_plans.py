@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from peneira.functions.predicates import keep_listed
 from peneira.operators.aggregates import first_rows, null_counts
 from peneira.operators.combine import align, co_group
 from peneira.operators.projections import key_value
@@ -82,12 +83,34 @@ def test_long_list_is_joined_by_its_size(spark, sf_dir):
         assert "BroadcastHashJoin" not in physical(QUERIES["flt_in_long_list"](spark, sf_dir))
 
 
+def test_the_list_reaches_the_scan(spark, sf_dir):
+    with settings(spark, spark__sql__maxMetadataStringLength=4000):
+        plan = physical(QUERIES["flt_in_long_list"](spark, sf_dir))
+        assert "GreaterThanOrEqual(c_name,Customer#000000400)" in plan and "LessThanOrEqual(c_name,Customer#000002399)" in plan
+        plan = physical(QUERIES["flt_in_table"](spark, sf_dir))
+        assert "GreaterThanOrEqual(o_orderkey,2" in plan and "LessThanOrEqual(o_orderkey," in plan
+        assert "l_quantity" not in plan  # the list is computed once, and stored
+        customers = table(spark, sf_dir, "customer")
+        for n in (1, 1_000, 100_001):
+            kept = keep_listed(customers, "c_custkey", list(range(7, 7 + n)))
+            plan = physical(kept)
+            if n == 1:
+                assert "EqualTo(c_custkey,7)" in plan
+            else:
+                assert "GreaterThanOrEqual(c_custkey,7)" in plan and f"LessThanOrEqual(c_custkey,{6 + n})" in plan
+            assert kept.count() == customers.filter(F.col("c_custkey").between(7, 6 + n)).count()
+        tokens = physical(QUERIES["flt_in_list"](spark, sf_dir))
+        assert " >= and)" in tokens and " <= the)" in tokens and " IN (" in tokens
+
+
 def test_co_group_without_frequent_keys_shuffles_once(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
     inputs = {
         tag: key_value(orders.filter(F.col("o_orderstatus") == tag), "o_custkey", "o_orderkey") for tag in "OF"
     }
-    assert count(co_group(inputs, 10_000), "Exchange hashpartitioning") == 1
+    grouped = co_group(inputs, 10_000)
+    assert count(grouped, "Exchange hashpartitioning") == 1
+    assert "o_orderkey" not in physical(grouped)  # the inputs were read once, into the shared folder
     assert "collect_list" not in physical(align(inputs))
 
 
@@ -100,7 +123,15 @@ def test_co_group_blocks_are_shuffled_apart(spark, sf_dir, monkeypatch):
     with settings(spark, spark__sql__autoBroadcastJoinThreshold=-1):
         plan = physical(co_group({"a": orders}, block_size=5))
     assert "BroadcastExchange" not in plan
-    assert "REPARTITION_BY_COL" in plan
+    assert "hashpartitioning(coalesce(key" in plan and ", salt#" in plan
+    assert plan.count("Exchange hashpartitioning(key#") >= 1 and ", block#" in plan.split("Exchange hashpartitioning(key#")[1][:40]
+
+
+def test_each_source_of_a_co_group_is_scanned_once(spark, sf_dir):
+    for name in ("cmb_cogroup", "cmb_cogroup_blocks"):
+        with settings(spark, spark__sql__maxMetadataStringLength=1000):
+            plan = physical(QUERIES[name](spark, sf_dir))
+        assert "orders.parquet" not in plan and "/tagged-" in plan, name
 
 
 def test_preview_is_not_a_full_sort(spark, sf_dir):

@@ -2,8 +2,10 @@ from __future__ import annotations
 
 import datetime
 import glob
+import os
 import tempfile
 import uuid
+import warnings
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -21,6 +23,7 @@ from peneira.sinks import (
     write_partitioned,
     write_text,
 )
+from peneira.sinks import files
 from peneira.sources import inline_rows, read_csv, read_json, read_lines, read_parquet
 from plan import settings as spark_settings
 
@@ -107,10 +110,13 @@ def test_text_that_would_break_lines_is_refused(spark, folder):
     assert [r.value for r in read_lines(spark, folder + "/one").collect()] == ["a|b"]
 
 
-def test_no_rebalance_without_adaptive_execution(spark, folder):
-    with spark_settings(spark, spark__sql__adaptive__enabled="false"):
-        with pytest.warns(UserWarning, match="adaptive"):
-            write_partitioned(spark.range(3).selectExpr("id", "id AS k"), folder + "/p", ["k"])
+def test_partitions_without_adaptive_execution(spark, folder):
+    """Each value is written whole by one task, without a warning, as with adaptive execution."""
+    for adaptive in ("true", "false"):
+        with spark_settings(spark, spark__sql__adaptive__enabled=adaptive), warnings.catch_warnings():
+            warnings.simplefilter("error", UserWarning)
+            write_partitioned(spark.range(0, 300, 1, 5).selectExpr("id", "id % 3 AS k"), folder + "/p", ["k"])
+        assert [len(glob.glob(f"{folder}/p/k={k}/part-*")) for k in range(3)] == [1, 1, 1]
 
 
 def test_text_lines(spark, folder):
@@ -141,6 +147,41 @@ def test_a_frequent_partition_value_is_written_by_several_tasks(spark, folder):
     assert back.agg(F.sum("id")).first()[0] == sum(range(400_000))
 
 
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+@pytest.mark.parametrize("by", [["k"], ["k", "l"]])
+def test_a_frequent_value_from_one_file_is_written_by_several_tasks(spark, folder, adaptive, by):
+    rows = spark.range(0, 60_000, 1, 1).select(
+        "id",
+        F.when(F.col("id") % 10 > 0, F.lit("hot")).when(F.col("id") % 20 == 0, F.lit("x")).alias("k"),
+        (F.col("id") % 1000 == 1).alias("l"),
+        F.sha2(F.col("id").cast("string"), 256).alias("text"),
+    )
+    rows.write.parquet(folder + "/one")
+    one = read_parquet(spark, folder + "/one", rows.schema)
+    assert len(glob.glob(folder + "/one/part-*")) == 1
+    found = [r.writers for r in files.large_values(files.value_bytes(one, by), 400_000).collect()]
+    assert len(found) == 1 and 11 <= found[0] <= 13
+    small = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": 400_000, "spark.sql.adaptive.enabled": adaptive}
+    with spark_settings(spark, **{k.replace(".", "__"): v for k, v in small.items()}):
+        write_partitioned(one, folder + "/p", by)
+    hot = folder + "/p/k=hot" + ("/l=false" if len(by) == 2 else "")
+    assert 4 <= len(glob.glob(hot + "/part-*")) <= 13
+    assert len(glob.glob(hot.replace("hot", "x") + "/part-*")) == 1
+    assert max(os.path.getsize(f) for f in glob.glob(hot + "/part-*")) < 0.5 * os.path.getsize(glob.glob(folder + "/one/part-*")[0])
+    back = read_parquet(spark, folder + "/p", rows.schema)
+    assert back.select(*one.columns).exceptAll(one).isEmpty() and back.count() == 60_000
+
+
+def test_sizes_of_any_columns(spark, folder):
+    rows = spark.range(20).selectExpr(
+        "CASE WHEN id > 3 THEN 'a' END AS `k.1`", "array(id) AS a", "map('x', id) AS m", "struct(id) AS s", "CAST(NULL AS STRING) AS t",
+        "CAST('b' AS BINARY) AS b", "id % 2 = 0 AS f", "DATE '2024-01-01' AS d",
+    )
+    write_partitioned(rows, folder + "/p", ["k.1"], task_bytes=100)
+    assert read_parquet(spark, folder + "/p", rows.schema).count() == 20
+    assert files.large_values(files.value_bytes(rows, ["k.1"]), 10**6).count() == 0
+
+
 def test_tables_views_and_bulk_load(spark, folder):
     schema = "peneira_test_" + uuid.uuid4().hex[:8]
     table = save_table(spark.range(4), f"{schema}.numbers", f"{folder}/{schema}")

@@ -6,7 +6,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from peneira.sources.delimited import infer_types
+from peneira.sources.delimited import header_names, infer_types
 from peneira.sources import (
     inline_rows,
     read_csv,
@@ -18,7 +18,7 @@ from peneira.sources import (
     split_fields,
     spread,
 )
-from peneira.sinks import write_partitioned
+from peneira.sinks import write_csv, write_partitioned
 from plan import settings
 
 
@@ -33,6 +33,10 @@ def values(df) -> list:
     return [row[0] for row in df.collect()]
 
 
+def bag(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
 def test_lines_keep_blanks_and_empty_lines(spark, folder):
     put(folder, "a.txt", " one \n\ntwo\r\n three\rfour \n\r\nsão\r\r\n")
     lines = [" one ", "", "two", " three\rfour ", "", "são\r"]
@@ -96,6 +100,50 @@ def test_preamble_header_is_checked_or_taken(spark, folder):
         read_csv_with_preamble(spark, folder, preamble=1, sep=";").collect()
 
 
+def test_quoted_headers_below_a_preamble(spark, folder):
+    put(folder, "a.csv", 'Updated: today\n"id";"name; and"\n1;"a;b"\n')
+    put(folder, "b.csv", 'Updated: now\r\n\ufeffID;"name; and"\r\n2;c\r\n')
+    for schema in ("id int, `name; and` string", None):
+        rows = read_csv_with_preamble(spark, folder, schema, preamble=1, sep=";")
+        assert rows.columns == ["id", "name; and"]
+        assert sorted(map(tuple, rows.collect())) == [(1, "a;b"), (2, "c")]
+    with settings(spark, spark__sql__caseSensitive="true"):
+        with pytest.raises(Exception, match="the header of"):
+            read_csv_with_preamble(spark, folder, "id int, `name; and` string", preamble=1, sep=";").collect()
+    put(folder, "c.csv", 'Updated: now\n"name; and";"id"\nd;3\n')
+    with pytest.raises(Exception, match="the header of"):
+        read_csv_with_preamble(spark, folder, "id int, `name; and` string", preamble=1, sep=";").collect()
+
+
+def test_header_names():
+    for line, sep, names in [
+        ("a,b", ",", ["a", "b"]),
+        ('"a";"b"', ";", ["a", "b"]),
+        ('"a,""x""",b', ",", ['a,"x"', "b"]),
+        ('"a"||b||"c||d"', "||", ["a", "b", "c||d"]),
+        ("", ",", [""]),
+        ('a,"",', ",", ["a", "", ""]),
+        ('"open,b', ",", ["open,b"]),
+    ]:
+        assert header_names(line, sep, '"') == names
+    assert header_names("'a,b',c", ",", "'") == ["a,b", "c"]
+
+
+def test_foreign_texts_like_the_null_mark_stay(spark, folder):
+    put(folder, "a.csv", "1,\\\\N\n2,\\N\n3,\\\\\\N\n")
+    schema = "id int, text string"
+    assert bag(read_csv(spark, folder, header=False, schema=schema)) == [(1, "\\\\N"), (2, None), (3, "\\\\\\N")]
+    assert bag(read_csv(spark, folder, header=False, schema=schema, own_marks=True))[0] == (1, "\\N")
+    put(folder, "p.csv", "x\nid,text\n1,\\\\N\n")
+    assert read_csv_with_preamble(spark, folder + "/p.csv", schema, preamble=1).first().text == "\\\\N"
+    own = inline_rows(spark, [(1, "\\N"), (2, "\\\\N"), (3, None)], schema)
+    write_csv(own, folder + "/own")
+    for path in (folder + "/own", folder + "/ow*", folder + "/own/*.csv", [folder + "/own"]):
+        assert bag(read_csv(spark, path, header=False, schema=schema)) == bag(own)
+    with pytest.raises(ValueError, match="own_marks"):
+        read_csv(spark, [folder + "/own", folder + "/a.csv"], header=False, schema=schema)
+
+
 def test_inferred_types(spark):
     rows = inline_rows(
         spark,
