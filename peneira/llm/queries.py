@@ -24,7 +24,7 @@ from peneira.llm import (
 from peneira.llm.common import is_held_out
 from peneira.plans.inputs import table
 
-MANY_UNITS = 700_000  # where tokenising is all that a worker does, it may keep more
+MANY_UNITS = 400_000  # where tokenising is all that a worker does, it may keep more
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -109,7 +109,8 @@ def write_codes(
 ) -> None:
     """Writes every text's ids, and ``end_id`` after each, in ascending id order.
 
-    Rows are dealt out and sorted by id (nulls first, equal ids by text) before they are
+    Rows are dealt out and sorted by id (nulls first, equal ids by a hash of the text, so that rows of one
+    id are no hot key) before they are
     encoded, so text is shuffled once and ids never. Each task writes segments of about
     ``segment_tokens`` tokens, each a row of a Parquet file: a file image of codes, with the
     ids and sizes of its documents beside it. ``first`` counts the tokens of the task's earlier
@@ -118,7 +119,8 @@ def write_codes(
     """
     encode = encoder(docs.sparkSession, tokenizer_file, end_id, known_units)
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    ordered = rows.repartitionByRange(partitions(docs.sparkSession), "doc_id").sortWithinPartitions("doc_id", "text")
+    order = ("doc_id", F.xxhash64("text"))
+    ordered = rows.repartitionByRange(partitions(docs.sparkSession), *order).sortWithinPartitions(*order, "text")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, number, first = TaskContext.get().partitionId(), 0, 0

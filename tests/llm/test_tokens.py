@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import unicodedata
 import zlib
 from collections import defaultdict
 
@@ -21,7 +22,6 @@ BYTE, WORD = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "wo
 
 def plain(file: str):
     made = Tokenizer.from_file(file)
-    made.encode_special_tokens = True
     return lambda text: made.encode(text or "", add_special_tokens=False).ids
 
 
@@ -32,10 +32,17 @@ def test_units_give_the_tokenizers_ids(file, rows, kept):
     assert keeps_blanks(source) is (file == BYTE)
     dice = random.Random(4)
     texts = [t or "" for _, t in rows]
-    texts += ["".join(dice.choice("ab'sStTé́ \n\t.,#1２\x1c\xa0 Σ日🙂|") for _ in range(dice.randint(1, 30))) for _ in range(3000)]
+    odd = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000 and (len(chr(c).lower()) > 1 or len(unicodedata.normalize("NFC", chr(c))) > 1)]
+    assert "İ" in odd and len(odd) > 60
+    texts += [f"{before}{c}{stop}" for c in odd for before in ("", "a", "é") for stop in (".", "!?", ", x", "'s.")]
+    texts += [f"{x} a<|endoftext|>b. <|ENDOFTEXT|>.{x}" for x in ("", "\n", "<|startoftext|>", "|", "<|")] + ["<|endoftext|>"]
+    letters = "ab'sStTé́İK= \n\t.,#<>|\"(-1２\x1c\xa0\r Σ日🙂|゙क̸़\ue000" + "".join(odd[::40])
+    texts += ["".join(dice.choice(letters) for _ in range(dice.randint(1, 30))) for _ in range(20_000)]
+    texts += ["".join(chr(dice.choice([dice.randrange(32, 0x250), dice.randrange(0x300, 0x3000), dice.randrange(32, 127)])) for _ in range(12)) for _ in range(5000)]
     whole, worker = plain(file), _Worker(source, kept)
-    for text, ids in zip(texts, worker.encode(texts)):
-        assert np.frombuffer(ids, "<u4").tolist() == whole(text)
+    for at in range(0, len(texts), 500):
+        for text, ids in zip(texts[at : at + 500], worker.encode(texts[at : at + 500]), strict=True):
+            assert ids.tolist() == whole(text), text
 
 
 def test_codes_round_trip_and_random_access():
@@ -61,7 +68,9 @@ def test_codes_round_trip_and_random_access():
 @pytest.mark.parametrize("segment", [1 << 20, 500])
 def test_written_codes(spark, documents, clashing, rows, folder, segment):
     encode, at, wanted = plain(BYTE), 0, []
-    for i, t in sorted(rows, key=lambda r: (r[0] is not None, r[0], r[1] is not None, r[1])):
+    texts = spark.createDataFrame({(t,) for _, t in rows}, "t string").select("t", F.xxhash64("t").alias("h"))
+    hashes = {r.t: r.h for r in texts.collect()}  # equal ids are in the order of their texts' hashes
+    for i, t in sorted(rows, key=lambda r: (r[0] is not None, r[0], hashes[r[1]])):
         ids = encode(t) + [2]
         wanted.append((i, at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
         at += len(ids)
