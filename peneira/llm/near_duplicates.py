@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import AtomicType
 
 from peneira.llm.common import partitions, per_batch, sorted_groups, stored, texts_of
 from peneira.llm.components import least_reachable
@@ -174,9 +176,17 @@ def near_duplicates(
 
 
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **how) -> DataFrame:
-    """The rows of ``docs`` whose id is that of their component, one row each; all rows with a null id."""
+    """The rows of ``docs`` whose id is that of their component, one row each; all rows with a null id.
+
+    Of several rows with one id that stays whose text has the least hash, then the least hash of all plain columns,
+    so that another run keeps the same. Texts are whole, null and blank ones near duplicates of each other;
+    columns keep their names and order, whatever they are called. No rows give no rows.
+    """
     found = near_duplicates(docs, doc_id, text, **how)
-    kept = found.filter("doc_id = component_id").select(F.col("doc_id").alias(doc_id)).distinct()
-    columns = docs.columns
-    one = docs.join(kept, doc_id, "left_semi").dropDuplicates([doc_id])
-    return one.select(columns).union(docs.filter(F.col(doc_id).isNull()).select(columns))
+    ids = f"kept_{uuid.uuid4().hex}"
+    kept = found.filter("doc_id = component_id").select(F.col("doc_id").alias(ids)).distinct()
+    plain = [f"`{f.name}`" for f in docs.schema if isinstance(f.dataType, AtomicType)]
+    order = Window.partitionBy(doc_id).orderBy(F.xxhash64(text), F.xxhash64(*plain))
+    one = docs.join(kept, F.col(doc_id) == F.col(ids), "left_semi")
+    one = one.withColumn(ids, F.row_number().over(order)).filter(F.col(ids) <= 1).drop(ids)
+    return one.union(docs.filter(F.col(doc_id).isNull()))

@@ -104,3 +104,12 @@ def test_one_of_each(documents, no_documents):
     assert sorted(i for i in ids if i is not None) == sorted(found)
     assert ids.count(None) == 2
     assert nd.one_of_each(no_documents).count() == 0
+
+
+def test_one_row_of_an_id_with_several_texts(spark):
+    rows = [(1, f"text number {k} of one id", k) for k in range(20)] + [(2, "another text", 0), (None, "x", 1), (None, "x", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, kept long")
+    first = bag(nd.one_of_each(docs))
+    assert [r[0] for r in first] == [1, 2, None, None]
+    for n in (1, 7):
+        assert bag(nd.one_of_each(docs.repartition(n, "text"))) == first
