@@ -14,10 +14,17 @@ from peneira.llm import decontaminate, language, near_duplicates, queries, secre
 from peneira.llm.common import is_held_out, stored
 from peneira.plans.inputs import table
 
+LEAST_SCORE = 0.2  # of a document's language
+
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language the filters know; texts that are null or have no letter go."""
-    return language.keep_known(docs, language.learn_filters(docs.filter(~is_held_out("doc_id", 3, 1))))
+    """Documents whose language the filters know with a score of ``LEAST_SCORE`` or more.
+
+    So these go: texts that are null or have no letter, and those of which less than that share of the
+    letter 3-grams belongs to any language (random letters, codes).
+    """
+    filters = language.learn_filters(docs.filter(~is_held_out("doc_id", 3, 1)))
+    return language.keep_known(docs, filters, least=LEAST_SCORE)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
