@@ -16,6 +16,7 @@ from peneira.llm.common import partitions, stored
 TILE = 4096  # vectors of a tile
 GROUP_TILES = 16  # candidate tiles that a query tile meets in one task
 STEP = 256  # queries whose products with a tile are held at a time
+TINY = 1e-290  # beyond what is lost where products are too small for double precision
 EXACT_DIMS = 1024  # products of so many 8-bit numbers add up exactly in single precision
 
 TILES = "dim int, is_query boolean, tile long, n int, ids binary, vectors binary"
@@ -86,10 +87,12 @@ class Quantised:
     def __init__(self, vectors: np.ndarray):
         wide = vectors.astype(np.float64)
         self.scale = np.abs(wide).max(axis=1) / 127
-        self.small = np.rint(wide / self.scale[:, None]).astype(np.int8)
-        rounded = self.small * self.scale[:, None]
-        self.norm = np.sqrt((rounded**2).sum(axis=1))
-        self.error = np.sqrt(((wide - rounded) ** 2).sum(axis=1))
+        with np.errstate(all="ignore"):  # beyond double precision the bounds are not finite
+            ratio = np.rint(wide / self.scale[:, None])
+            self.small = np.where(np.isfinite(ratio), np.clip(ratio, -127, 127), 0).astype(np.int8)
+            rounded = self.small * self.scale[:, None]
+            self.norm = np.sqrt((rounded**2).sum(axis=1))
+            self.error = np.sqrt(((wide - rounded) ** 2).sum(axis=1))
 
     def times(self, other: Quantised, rows: slice) -> np.ndarray:
         """Inner products of the rounded vectors: sums of 8-bit products, exact, then scaled."""
@@ -97,7 +100,8 @@ class Quantised:
         for k in range(0, self.small.shape[1], EXACT_DIMS):
             left = self.small[rows, k : k + EXACT_DIMS].astype(np.float32)
             total += left @ other.small[:, k : k + EXACT_DIMS].astype(np.float32).T
-        return total * self.scale[rows, None] * other.scale[None, :]
+        with np.errstate(all="ignore"):
+            return total * self.scale[rows, None] * other.scale[None, :]
 
     def slack(self, other: Quantised, rows: slice) -> np.ndarray:
         """How far a true inner product may be from that of the rounded vectors.
@@ -105,22 +109,24 @@ class Quantised:
         With x = a + e and y = b + f, xy - ab = af + eb + ef, each bounded by its norms.
         """
         norm, error = self.norm[rows, None], self.error[rows, None]
-        bound = norm * other.error + error * other.norm + error * other.error
-        return bound + 1e-9 * (norm * other.norm + bound)  # the rounding of these very sums
+        with np.errstate(all="ignore"):
+            bound = norm * other.error + error * other.norm + error * other.error
+            return bound + 1e-9 * (norm * other.norm + bound) + TINY  # the rounding of these very sums
 
 
 def inner_products(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
     """In double precision, added component by component in order, so that equal vectors score alike wherever they are."""
     total = np.zeros(len(vectors))
-    for column, x in zip(vectors.T, query, strict=True):
-        total += column * x
+    with np.errstate(all="ignore"):
+        for column, x in zip(vectors.T, query, strict=True):
+            total += column * x
     return total
 
 
 def _merge(best: dict[int, float], found: Iterator[tuple[int, float]], k: int) -> dict[int, float]:
     """The k best of both; an id that occurs more than once keeps its best score."""
     for i, score in found:
-        if score > best.get(i, -np.inf):
+        if i not in best or score > best[i]:
             best[i] = score
     if len(best) <= k:
         return best
@@ -142,15 +148,21 @@ def nearest_in_tile(
     for start in range(0, len(queries), STEP):
         rows = slice(start, start + STEP)
         product, slack = left.times(right, rows), left.slack(right, rows)
-        product[query_ids[rows, None] == ids[None, :]] = -np.inf
+        other = query_ids[rows, None] != ids[None, :]
+        with np.errstate(all="ignore"):
+            low, high = product - slack, product + slack
+        unsure = ~(np.isfinite(low) & np.isfinite(high))  # no bound: such a pair is always computed
+        low[unsure | ~other] = -np.inf
         floor = np.array([min(b.values()) if len(b) >= k else -np.inf for b in best[rows]])
         if len(ids) > k and not repeated:
-            floor = np.maximum(floor, np.partition(product - slack, -k, axis=1)[:, -k])
-        able = (product + slack >= floor[:, None]) & (product > -np.inf)
+            floor = np.maximum(floor, np.partition(low, -k, axis=1)[:, -k])
+        able = ((high >= floor[:, None]) | unsure) & other
         for n, chosen in enumerate(able):
             at = np.flatnonzero(chosen)
             if len(at):
                 scores = inner_products(wide[at], queries[start + n].astype(np.float64))
+                sure = ~np.isnan(scores)  # both infinities among the products: not a number
+                at, scores = at[sure], scores[sure]
                 if len(at) > k and not repeated:
                     last = np.partition(scores, -k)[-k]
                     at, scores = at[scores >= last], scores[scores >= last]
@@ -166,7 +178,9 @@ def nearest(
     Rank counts from 1; equal scores go to the smaller id; a query is no neighbour of its own id.
     Vectors that are null, all zero, or hold null or non-finite components take no part,
     nor do rows with a null id. Fully repeated rows count once; an id with several
-    vectors is represented by the best of them. Fewer than k candidates give fewer rows.
+    vectors is represented by the best of them. Fewer than k candidates give fewer rows. Sums beyond
+    double precision are infinite and rank first, or last if negative; a pair whose sum is not a number, of two
+    infinities, is left out. Other columns are not looked at.
 
     The rows are packed into matrix tiles; each query tile meets groups of candidate tiles, each
     group in one task. Candidate tiles are shuffled once, query tiles once for each group.

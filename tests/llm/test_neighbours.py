@@ -77,6 +77,23 @@ def test_bounds_hold():
     assert (a.slack(b, rows) < 0.04 * a.norm[:, None] * b.norm).all()
 
 
+def test_inner_products_beyond_double_precision(spark):
+    dice = np.random.default_rng(6)
+    rows = []
+    for i in range(120):
+        vector = dice.normal(size=6) * 10.0 ** [200, 0, 150, -160][i // 20 % 4]
+        rows.append((i, (np.abs(vector) if i % 3 == 0 else vector).tolist()))
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").repartition(4)
+    with np.errstate(all="ignore"):
+        scores = {(q, i): sum((np.float64(a) * b for a, b in zip(x, y, strict=True)), np.float64(0)) for q, x in rows if q % 20 == 0 for i, y in rows if i != q}
+    expected = []
+    for query in range(0, 120, 20):
+        ranked = sorted(((-s, i) for (q, i), s in scores.items() if q == query and not np.isnan(s)))[:20]
+        expected += [(query, rank, i, float(-s)) for rank, (s, i) in enumerate(ranked, 1)]
+    assert any(np.isinf(s) for *_, s in expected) and any(np.isfinite(s) for *_, s in expected)
+    assert bag(nearest(df)) == sorted(expected, key=repr)
+
+
 def test_same_as_sql(spark, sf_dir):
     found = spark_bag(queries.op4_nearest(spark, sf_dir))
     assert found == duck_bag(connect(sf_dir), queries.ORACLE_SQL["op4_nearest"])
