@@ -100,12 +100,12 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document in one of 24 shards of equal bytes, moved from shards by source."""
+    """Every document in one of 24 shards of equal bytes, moved from 20 shards by hash of the text."""
     docs = table(spark, sf_dir, "documents")
-    by_source = F.pmod(F.crc32(F.col("source").cast("binary")), F.lit(24)).cast("int")
     raw = F.coalesce(F.col("text").cast("binary"), F.lit(b""))
+    by_text = F.pmod(F.crc32(raw), F.lit(20)).cast("int")
     size = (F.octet_length(raw) + 8).cast("long").alias("size")
-    placed = sharding.reshard(docs, by_source, 24, columns=("doc_id", size, F.crc32(raw).alias("text_crc32")))
+    placed = sharding.reshard(docs, by_text, 24, columns=("doc_id", size, F.crc32(raw).alias("text_crc32")))
     return placed.select(
         "doc_id",
         "size",

@@ -87,3 +87,41 @@ def test_old_shards_beyond_the_new_are_emptied(spark):
     rows = sharding.sized(docs, "doc_id", "text", F.col("doc_id") % 5)
     counts = {r.shard: r["count"] for r in sharding.plan_equal_bytes(rows, 2).assign(rows).groupBy("shard").count().collect()}
     assert set(counts) == {0, 1} and abs(counts[0] - counts[1]) <= 4
+
+
+def test_equal_texts_stay_together_unless_no_room_holds_them(spark):
+    dice = random.Random(8)
+    table = [(i, f"{dice.random()} " * dice.randint(1, 6)) for i in range(3000)]
+    table += [(3000 + 40 * g + i, f"group {g} " * 12) for g in range(30) for i in range(40)]
+    table += [(9000 + i, "hot " * 30) for i in range(2500)]  # a third of all bytes and more: larger than any shard
+    docs = spark.createDataFrame(table, "doc_id bigint, text string").repartition(7)
+    columns = ("doc_id", F.octet_length("text").alias("bytes"), F.col("text_crc32"))
+    found = sharding.reshard(docs, F.pmod(F.crc32(F.col("text").cast("binary")), F.lit(5)), 6, columns=columns).collect()
+    assert sorted(r.doc_id for r in found) == sorted(i for i, _ in table)
+    shards, sizes = defaultdict(set), Counter()
+    for r in found:
+        shards[r.text_crc32].add(r.shard)
+        sizes[r.shard] += r.bytes + 8
+    hot = zlib.crc32(("hot " * 30).encode())
+    assert [c for c, s in shards.items() if len(s) > 1] == [hot]
+    assert set(sizes) == set(range(6))
+    assert max(sizes.values()) - min(sizes.values()) < 0.02 * max(sizes.values())
+
+
+def test_only_files_that_a_transfer_cuts_are_written_anew(spark):
+    dice = random.Random(9)
+    table = [(i, f"{dice.random()} " * dice.randint(1, 9), i % 2 if i < 1500 else i % 4) for i in range(4000)]
+    docs = spark.createDataFrame(table, "doc_id bigint, text string, place int").repartition(4)
+    layout = sharding.reshard_files(docs, F.col("place"), 4)
+    assert len(layout.kept) > 3 * len(layout.cut) > 0
+    assert any(old != shard for old, _, shard in layout.kept)  # handed over whole
+    old = spark.read.parquet(layout.old_path).select("doc_id", "old", "slice")
+    new = spark.read.parquet(layout.new_path).select("doc_id", "old", "slice")
+    cut = {(r.old, r.slice) for r in old.join(new.select("doc_id"), "doc_id").select("old", "slice").distinct().collect()}
+    assert cut == set(layout.cut)
+    assert new.count() == sum((r.old, r.slice) in cut for r in old.collect())
+    found = layout.read(spark, ["doc_id", "text"]).collect()
+    assert Counter((r.doc_id, r.text) for r in found) == Counter((i, t) for i, t, _ in table)
+    even = sharding.reshard_files(docs.filter("doc_id < 4").withColumn("text", F.lit("same")), F.col("doc_id"), 4)
+    assert even.cut == [] and {(a, c) for a, _, c in even.kept} == {(i, i) for i in range(4)}
+    assert sorted(r.doc_id for r in even.read(spark, ["doc_id"]).collect()) == [0, 1, 2, 3]
