@@ -17,7 +17,6 @@ from peneira.llm.common import code_points, stored, texts_of
 
 SAMPLE = 12_000  # documents that the scorers are fitted on, by hash of the id
 LABELLED = 20_000  # labelled documents that unwanted terms are learned from, by hash of the id
-TERMS = 600  # of them
 STEM = 6  # letters of a word that count as a term of their own
 LONG = 200  # words from which on a word's weight no longer falls with the text's length
 SLOTS = 1 << 22  # weights of a scorer
@@ -93,26 +92,48 @@ def measures(text: str, terms: dict[str, int]) -> tuple[int, dict[str, float], s
     return len(words), dict(zip(MEASURES, values, strict=True)), lists
 
 
-def measured(rows: DataFrame, terms: list[str]) -> DataFrame:
-    """Rows (``doc_id``, ``text``) with the measures that the labellers look at; null counts as empty."""
-    shared = rows.sparkSession.sparkContext.broadcast({t: k % 3 for k, t in enumerate(terms)})
-    kind = rows.schema["doc_id"].dataType.simpleString()
+def measured(rows: DataFrame, terms: list[str], share: float = 0.0) -> DataFrame:
+    """The measures of all rows (``doc_id``, ``text``) that the labellers look at; null counts as empty.
+
+    For about this share of the different rows, by ``hash`` of id and text, also their ``slots`` and ``values``.
+    Of rows that repeat in full, each task takes at most one.
+    """
+    spark = rows.sparkSession
+    shared = spark.sparkContext.broadcast({t: k % 3 for k, t in enumerate(terms)})
+    below = int((1 << 62) * min(share, 1.0))
+    hashed = F.shiftrightunsigned(F.xxhash64("doc_id", "text", F.lit(3)), 2)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shapes: dict[str, str] = {}
+        taken: set[int] = set()  # at most the sample
         for batch in batches:
-            found = [measures(t.decode("utf-8", "replace"), shared.value) for t in texts_of(batch.column(1))]
+            found, slots, values = [], [], []
+            for h, raw in zip(batch.column(0).to_pylist(), texts_of(batch.column(1)), strict=True):
+                whole = raw.decode("utf-8", "replace")
+                found.append(measures(whole, shared.value))
+                if h < below and h not in taken:
+                    taken.add(h)
+                    s, v = features(whole, shapes)
+                    slots.append(s.tobytes())
+                    values.append(v.tobytes())
+                else:
+                    slots.append(None)
+                    values.append(None)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
+                    pa.array(slots, pa.binary()),
+                    pa.array(values, pa.binary()),
                     pa.array([n for n, _, _ in found], pa.int64()),
                     *(pa.array([v[name] for _, v, _ in found], pa.float64()) for name in MEASURES),
                     *(pa.array([k in lists for _, _, lists in found], pa.bool_()) for k in range(3)),
                 ],
-                names=["doc_id", "n_words", *MEASURES, *(f"terms_{k}" for k in range(3))],
+                names=["hash", "slots", "values", "n_words", *MEASURES, *(f"terms_{k}" for k in range(3))],
             )
 
-    columns = [f"doc_id {kind}", "n_words bigint", *(f"{m} double" for m in MEASURES), *(f"terms_{k} boolean" for k in range(3))]
-    return rows.select("doc_id", "text").mapInArrow(work, ", ".join(columns))
+    columns = ["hash bigint", "slots binary", "values binary", "n_words bigint", *(f"{m} double" for m in MEASURES)]
+    columns += [f"terms_{k} boolean" for k in range(3)]
+    return rows.select(hashed.alias("hash"), "text").mapInArrow(work, ", ".join(columns))
 
 
 def quality_labellers() -> list[Labeller]:
@@ -130,7 +151,7 @@ def quality_labellers() -> list[Labeller]:
 
 
 def decency_labellers() -> list[Labeller]:
-    """Three overlapping word lists: any of its words is a bad sign, none is a good one."""
+    """Three word lists without a common word: any of its words is a bad sign, none is a good one."""
     return [Labeller(f"terms_{k}", ~F.col(f"terms_{k}"), F.col(f"terms_{k}")) for k in range(3)]
 
 
@@ -138,7 +159,8 @@ def unwanted_terms(docs: DataFrame, labels: DataFrame, size: int = LABELLED) ->
     """Words that labelled toxic documents hold far more often than others, the most telling first.
 
     Learned from at most about ``size`` labelled documents with different texts; a word, or its first ``STEM``
-    letters, counts once a document.
+    letters, counts once a document. Of several texts under one id the one of least hash counts, of several
+    labels of one text or id the worst.
     """
     marked = labels.filter("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     n = marked.count()
@@ -146,7 +168,9 @@ def unwanted_terms(docs: DataFrame, labels: DataFrame, size: int = LABELLED) ->
         return []
     some = marked.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int((1 << 20) * min(1.0, size / n)))
     words = with_stems(F.transform(F.split(F.lower("text"), BREAKS), lambda w: F.regexp_replace(w, r"[^\p{L}]+", "")))
-    found = docs.filter("text is not null").join(some, "doc_id").dropDuplicates(["text"])
+    found = docs.filter("text is not null").join(some, "doc_id")
+    one = found.groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text"), "text")).text.alias("text"), F.max("toxic").alias("toxic"))
+    found = one.groupBy("text").agg(F.max("toxic").alias("toxic"))
     chosen = stored(found.select("toxic", words.alias("words")), "labelled")
     total = {r.toxic: r["count"] for r in chosen.groupBy("toxic").count().collect()}
     bad, good = total.get(1, 0), total.get(0, 0)
@@ -158,7 +182,7 @@ def unwanted_terms(docs: DataFrame, labels: DataFrame, size: int = LABELLED) ->
     )
     odds = (F.col("a") / max(bad, 1)) / ((F.col("b") + 0.5) / max(good, 1))
     enough = max(5, bad // 150)
-    telling = counts.filter((F.col("a") >= enough) & (odds >= 25)).orderBy(F.desc("a"), "word").limit(TERMS)
+    telling = counts.filter((F.col("a") >= enough) & (odds >= 25)).orderBy(F.desc("a"), "word")
     return [r.word for r in telling.collect()]
 
 
@@ -229,11 +253,22 @@ def features(text: str, shapes: dict[str, str]) -> tuple[np.ndarray, np.ndarray]
     return slots, np.minimum(values, 1.0)
 
 
-def fit(rows: list[tuple[np.ndarray, np.ndarray]], target: np.ndarray) -> tuple[np.ndarray, float]:
+class Weights:
+    """A weight for each slot, 0 for most: only the others are kept."""
+
+    def __init__(self, slots: np.ndarray, values: np.ndarray):
+        self.slots = np.append(slots, SLOTS)  # sorted, with an end that no slot reaches
+        self.values = np.append(values, 0.0)
+
+    def __getitem__(self, slots: np.ndarray) -> np.ndarray:
+        at = np.searchsorted(self.slots, slots)
+        return np.where(self.slots[at] == slots, self.values[at], 0.0)
+
+
+def fit(rows: list[tuple[np.ndarray, np.ndarray]], target: np.ndarray) -> tuple[Weights, float]:
     """Weights and offset of a logistic scorer of soft labels; the rarer class weighs more, as much as it is rarer."""
-    weights, offset = np.zeros(SLOTS, np.float64), 0.0
     if not rows:
-        return weights, offset
+        return Weights(np.zeros(0, np.int64), np.zeros(0)), 0.0
     sizes = np.array([len(s) for s, _ in rows])
     slots = np.concatenate([s for s, _ in rows])
     values = np.concatenate([v for _, v in rows])
@@ -255,8 +290,8 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], target: np.ndarray) -> tuple[
         return float(value), slope
 
     found = _minimum(loss, np.zeros(len(used) + 1))
-    weights[used] = found[:-1]
-    return weights, float(found[-1])
+    seen = found[:-1] != 0
+    return Weights(used[seen], found[:-1][seen]), float(found[-1])
 
 
 def _minimum(loss, start: np.ndarray, memory: int = 8) -> np.ndarray:
@@ -295,8 +330,8 @@ def _minimum(loss, start: np.ndarray, memory: int = 8) -> np.ndarray:
 class Scorers:
     """A linear scorer for each question, and what was learned of the labellers on the way."""
 
-    quality: tuple[np.ndarray, float]
-    decency: tuple[np.ndarray, float]
+    quality: tuple[Weights, float]
+    decency: tuple[Weights, float]
     terms: list[str]
     accuracies: dict[str, np.ndarray]
 
@@ -305,19 +340,20 @@ def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     """Scorers of quality and decency, from heuristics that vote on every document.
 
     All documents' votes are counted by pattern, at most 3 to the power of the labellers. The scorers are
-    fitted on about ``sample`` documents, chosen by a hash of the id, to the probabilities of their patterns.
+    fitted on about ``sample`` documents, twice as many at most, chosen by a hash of id and text, to the probabilities
+    of their patterns. Each text is read once; of rows that repeat in full one may be fitted on, and all are counted.
     ``labels`` (``doc_id``, ``toxic``) only serves to find the words that the decency labellers look for.
     """
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     terms = unwanted_terms(rows, labels)
     groups = {"quality": quality_labellers(), "decency": decency_labellers()}
-    votes = measured(rows, terms).select("doc_id", *(x.vote for group in groups.values() for x in group))
-    names = [c for c in votes.columns if c != "doc_id"]
-    counts = stored(votes.groupBy(*names).count(), "votes").collect()
-    n = sum(r["count"] for r in counts)
-    some = rows.filter(F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(1 << 20)) < int((1 << 20) * min(1.0, sample / max(n, 1))))
-    chosen = measured(some, terms).select("doc_id", *(x.vote for group in groups.values() for x in group))
-    found = stored(_features_of(some).join(chosen, "doc_id"), "sample").collect()
+    n = rows.count()
+    seen = measured(rows, terms, sample / max(n, 1))
+    names = [x.name for group in groups.values() for x in group]
+    hashes = F.expr("nvl2(slots, hash, null) AS hash")
+    votes = stored(seen.select(hashes, "slots", "values", *(x.vote for group in groups.values() for x in group)), "votes")
+    counts = votes.groupBy(*names).count().collect()
+    found = votes.filter("slots is not null").dropDuplicates(["hash"]).orderBy("hash").limit(2 * sample).collect()
     vectors = [(np.frombuffer(r.slots, np.int64), np.frombuffer(r["values"], np.float64)) for r in found]
     fits, tables = {}, {}
     for question, group in groups.items():
@@ -333,33 +369,15 @@ def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     return Scorers(fits["quality"], fits["decency"], terms, tables)
 
 
-def _features_of(rows: DataFrame) -> DataFrame:
-    kind = rows.schema["doc_id"].dataType.simpleString()
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shapes: dict[str, str] = {}
-        for batch in batches:
-            found = [features(t.decode("utf-8", "replace"), shapes) for t in texts_of(batch.column(1))]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.array([s.tobytes() for s, _ in found], pa.binary()),
-                    pa.array([v.tobytes() for _, v in found], pa.binary()),
-                ],
-                names=["doc_id", "slots", "values"],
-            )
-
-    return rows.mapInArrow(work, f"doc_id {kind}, slots binary, values binary")
-
-
 def score(docs: DataFrame, scorers: Scorers, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Every row's ``doc_id``, ``quality`` and ``decency`` (0 to 1) and ``keep`` (both at least 0.5).
 
     Null and empty texts have no features: both scores are 0 and they are not kept. Repeated
-    rows get equal scores; a null id is scored like others.
+    rows get equal scores; a null id is scored like others. A text of any length is read whole, one at a
+    time; other columns are left out. An empty table gives no rows.
     """
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast([(w.astype(np.float32), b) for w, b in (scorers.quality, scorers.decency)])
+    shared = spark.sparkContext.broadcast([scorers.quality, scorers.decency])
     kind = docs.schema[doc_id].dataType.simpleString()
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
 

@@ -87,3 +87,58 @@ def test_without_labels_or_documents(spark, documents, no_documents):
     assert quality.score(documents, scorers).filter("decency < 0.5").count() <= 4  # texts without a word
     empty = quality.learn(no_documents, labels)
     assert quality.score(no_documents, empty).count() == 0
+
+
+def brute_learning(rows, terms):
+    """Votes of every row by plain counting, and their good-row chances."""
+    group = quality.quality_labellers()
+    bounds = {
+        "symbols": lambda m, n: (m["odd"] < 0.02, m["odd"] > 0.05),
+        "capitals": lambda m, n: (m["capitals"] < 0.2, m["capitals"] > 0.5),
+        "variety": lambda m, n: (n >= 30 and m["distinct"] > 0.45, n >= 30 and m["distinct"] < 0.3),
+        "repeats": lambda m, n: (m["again"] < 0.05, n >= 30 and m["again"] > 0.2),
+        "function_words": lambda m, n: (m["common"] > 0.12, n >= 30 and m["common"] < 0.04),
+        "sentences": lambda m, n: (0.02 <= m["stops"] <= 0.35, n >= 30 and (m["stops"] < 0.005 or m["stops"] > 0.6)),
+        "letters": lambda m, n: (m["letters"] > 0.72, m["letters"] < 0.6),
+        "word_length": lambda m, n: (2.5 <= m["word_chars"] <= 9, m["word_chars"] < 1.5 or m["word_chars"] > 14),
+    }
+    counts, texts = {}, {}
+    for i, text in rows:
+        n, m, _ = quality.measures(text or "", {t: k % 3 for k, t in enumerate(terms)})
+        pattern = tuple(1 if good else -1 if bad else 0 for good, bad in (bounds[x.name](m, n) for x in group))
+        counts[pattern] = counts.get(pattern, 0) + 1
+        texts[i, text or ""] = pattern
+    patterns = sorted(counts.items())
+    good, accuracy, _ = quality.estimate(patterns)
+    return texts, dict(zip((p for p, _ in patterns), good, strict=True)), accuracy
+
+
+def test_learning_equals_brute_force(spark, scored):
+    docs, scorers = scored
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    texts, chance, accuracy = brute_learning(rows, scorers.terms)
+    assert np.allclose(scorers.accuracies["quality"], accuracy)
+    vectors, target = [], []
+    for (_, text), pattern in sorted(texts.items(), key=repr):
+        vectors.append(quality.features(text, {}))
+        target.append(chance[pattern])
+    weights, offset = quality.fit(vectors, np.array(target))
+    found = {(r.doc_id, r.quality) for r in quality.score(docs, scorers).filter("doc_id >= 1000").collect()}
+    brute = {}
+    for i, text in rows:
+        if i is not None and i >= 1000:
+            slots, values = quality.features(text, {})
+            brute[i] = 1 / (1 + np.exp(-(weights[slots] @ values + offset)))
+    # null and empty text of one id apart, the same fit; sums are added in another order
+    assert max(abs(q - brute[i]) for i, q in found) < 0.05
+
+
+def test_rows_that_repeat_are_fitted_on_once(spark):
+    dice = random.Random(19)
+    rows = [(i, sentence(dice, "en", 30)) for i in range(300)] + [(7, "one row again and again")] * 6000 + [(None, "no id")] * 300
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(6)
+    seen = quality.measured(docs, [], 1.0).filter("slots is not null")
+    assert seen.count() <= 300 + 6 * 2 and seen.select("hash").distinct().count() == 302
+    labels = spark.createDataFrame([(7, 1, 1), (7, 1, 0)], "doc_id bigint, quality int, toxic int")
+    scorers = quality.learn(docs, labels, sample=50)
+    assert quality.score(docs, scorers).count() == 6600
