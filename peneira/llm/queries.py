@@ -89,6 +89,7 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         *(F.size(of(kind)).cast("long").alias(f"n_{kind}") for kind in base),
         F.sha2(listed(of(*base)).cast("binary"), 256).alias("base_sha256"),
         listed(F.col("spans")).alias("spans"),
+        F.array_join(F.transform("scores", lambda s: F.concat_ws(":", s.likely, F.format_string("%.3f", s.bits))), ",").alias("likely"),
     )
 
 

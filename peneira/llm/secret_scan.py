@@ -232,14 +232,21 @@ def fits_a_format(formats: dict[str, tuple[list, float]], word: str) -> bool:
     return False
 
 
+def likeliest(formats: dict[str, tuple[list, float]], word: str) -> tuple[str | None, float | None]:
+    """The kind whose automaton needs the fewest bits for the word, and these bits a character; ties go by name."""
+    found = [(cost(states, word) / len(word), kind) for kind, (states, _) in formats.items() if kind != ORDINARY]
+    bits, kind = min(found, default=(None, None))
+    return kind, bits
+
+
 def _finder(spark, formats: dict[str, tuple[list, float]]):
     shared = spark.sparkContext.broadcast(formats)
     known: dict[str, bool] = {}
 
-    def spans_of(raw: bytes) -> tuple[str, list[tuple[int, int, int]]]:
+    def spans_of(raw: bytes) -> tuple[str, list[tuple[int, int, int, str]]]:
         text = raw.decode("utf-8", "replace")
         base, runs = base_spans(text, raw.lower())
-        found = [(a, b, kind) for a, b, kind, _ in base]
+        found = list(base)
         for a, b in free_runs(base, runs):
             word = text[a:b]
             if word not in known:
@@ -247,38 +254,57 @@ def _finder(spark, formats: dict[str, tuple[list, float]]):
                     known.clear()
                 known[word] = fits_a_format(shared.value, word)
             if known[word]:
-                found.append((a, b, 3))
+                found.append((a, b, 3, word))
         return text, sorted(found, key=lambda s: (s[0], s[2]))
 
     return spans_of
 
 
 def scan(docs: DataFrame, formats: dict[str, tuple[list, float]], doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Every row's ``doc_id`` and ``spans``: an array of (kind, start, end), by start, then kind.
+    """Every row's ``doc_id``, ``spans``: an array of (kind, start, end), by start, then kind; and their ``scores``.
 
     Offsets count code points, ends are exclusive. ``assign``, ``access`` and ``hex`` are the
     pattern matches, leftmost and not overlapping within a kind. ``format`` is a run of 16 or
     more credential characters that overlaps no pattern match and whose likelihood under a learned
-    automaton is that of credentials, see ``fits_a_format``. Null and empty texts have no spans.
+    automaton is that of credentials, see ``fits_a_format``. ``scores`` has, for each span, the
+    kind ``likely`` whose automaton explains its secret best, and its ``bits`` a character; null where nothing was learned.
+    Null and empty texts have no spans. Texts are searched whole, whatever their length; repeated rows
+    and null ids are rows like others, and other columns are left out.
     """
     spans_of = _finder(docs.sparkSession, formats)
+    automata = docs.sparkSession.sparkContext.broadcast(formats)
     kind = docs.schema[doc_id].dataType.simpleString()
     span = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
+    score = pa.list_(pa.struct([("likely", pa.string()), ("bits", pa.float64())]))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, dict] = {}
+
+        def scored(secret: str) -> dict:
+            if secret not in known:
+                if len(known) > 200_000:
+                    known.clear()
+                known[secret] = dict(zip(("likely", "bits"), likeliest(automata.value, secret), strict=True))
+            return known[secret]
+
         for batch in batches:
-            found = [
-                [{"kind": KINDS[k], "start": a, "end": b} for a, b, k in spans_of(raw)[1]]
-                for raw in texts_of(batch.column(1))
-            ]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, span)], names=["doc_id", "spans"])
+            found = [spans_of(raw)[1] for raw in texts_of(batch.column(1))]
+            spans = [[{"kind": KINDS[k], "start": a, "end": b} for a, b, k, _ in own] for own in found]
+            scores = [[scored(secret) for *_, secret in own] for own in found]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(spans, span), pa.array(scores, score)], names=["doc_id", "spans", "scores"]
+            )
 
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    return rows.mapInArrow(work, f"doc_id {kind}, spans array<struct<kind: string, start: bigint, end: bigint>>")
+    spans = "spans array<struct<kind: string, start: bigint, end: bigint>>"
+    return rows.mapInArrow(work, f"doc_id {kind}, {spans}, scores array<struct<likely: string, bits: double>>")
 
 
 def redact(docs: DataFrame, formats: dict[str, tuple[list, float]], text: str = "text", mark: str = "[secret]") -> DataFrame:
-    """All rows and columns, with ``mark`` in place of every span; overlapping spans get one mark."""
+    """All rows and columns, with ``mark`` in place of every span; overlapping spans get one mark.
+
+    Null texts stay null, empty ones empty; columns of any other name are kept as they are.
+    """
     spans_of = _finder(docs.sparkSession, formats)
     place = docs.columns.index(text)
 
@@ -287,7 +313,7 @@ def redact(docs: DataFrame, formats: dict[str, tuple[list, float]], text: str =
             return None
         whole, spans = spans_of(raw)
         parts, at = [], 0
-        for a, b, _ in spans:
+        for a, b, *_ in spans:
             if a >= at:
                 parts += [whole[at:a], mark]
             at = max(at, b)

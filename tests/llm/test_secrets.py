@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import math
 import random
 import re
 
@@ -89,3 +90,31 @@ def test_redaction(spark, documents):
     assert after[195] == '[secret]" and [secret]'
     assert after[3000] == "see [secret] there"
     assert all(after[i] == before[i] for i in range(195)) and after[190] is None
+
+
+def brute_bits(states, word: str) -> float:
+    """Minus the logarithm of the product of the chances along the word's only path, end included."""
+    chance, at = 1.0, 0
+    for c in word:
+        chance *= 2.0 ** -states[at][c][0]
+        at = states[at][c][1]
+    return -math.log2(chance * 2.0 ** -states[at][""][0]) / len(word)
+
+
+def test_every_span_is_scored_by_the_automata(spark, documents):
+    docs = docs_with_formats(spark, documents)
+    formats = ss.learn_formats(docs)
+    assert {"assign", "access", "hex", ss.ORDINARY} <= set(formats)
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    spans = 0
+    for row in ss.scan(docs, formats).filter("doc_id is not null").collect():
+        assert len(row.spans) == len(row.scores)
+        for (kind, a, b), (likely, bits) in zip(row.spans, row.scores, strict=True):
+            whole = texts[row.doc_id][a:b]
+            secret = ASSIGN.match(whole)[2] if kind == "assign" else whole
+            own = {k: brute_bits(states, secret) for k, (states, _) in formats.items() if k != ss.ORDINARY}
+            assert abs(bits - min(own.values())) < 1e-9 and own[likely] <= min(own.values()) + 1e-9
+            spans += 1
+    assert spans > 300
+    alone = ss.scan(documents, {}).filter("doc_id = 195").first()
+    assert len(alone.scores) == 3 and all(s.likely is None and s.bits is None for s in alone.scores)
