@@ -114,8 +114,8 @@ def measured(rows: DataFrame, terms: list[str], share: float = 0.0) -> DataFrame
                 if h < below and h not in taken:
                     taken.add(h)
                     s, v = features(whole, shapes)
-                    slots.append(s.tobytes())
-                    values.append(v.tobytes())
+                    slots.append(s.astype(np.int32).tobytes())
+                    values.append(v.astype(np.float32).tobytes())
                 else:
                     slots.append(None)
                     values.append(None)
@@ -272,10 +272,13 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], target: np.ndarray) -> tuple[
     sizes = np.array([len(s) for s, _ in rows])
     slots = np.concatenate([s for s, _ in rows])
     values = np.concatenate([v for _, v in rows])
-    owner = np.repeat(np.arange(len(rows)), sizes)
-    used, place, often = np.unique(slots, return_inverse=True, return_counts=True)
-    keep = often[place] >= SEEN
-    place, values, owner = place[keep], values[keep], owner[keep]
+    owner = np.repeat(np.arange(len(rows), dtype=np.int32), sizes)
+    often = np.bincount(slots, minlength=SLOTS)
+    used = np.flatnonzero(often >= SEEN)
+    keep = often[slots] >= SEEN
+    slots, values, owner = slots[keep], values[keep], owner[keep]
+    place = np.searchsorted(used, slots).astype(np.int32)
+    del often, keep, slots
     rare = np.clip(len(target) / (2 * max(min(target.sum(), (1 - target).sum()), 1.0)), 1, 10)
     importance = 1 + (rare - 1) * np.abs(target - (target.mean() >= 0.5))
     importance /= importance.sum()
@@ -340,8 +343,7 @@ def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     """Scorers of quality and decency, from heuristics that vote on every document.
 
     All documents' votes are counted by pattern, at most 3 to the power of the labellers. The scorers are
-    fitted on about ``sample`` documents, twice as many at most, chosen by a hash of id and text, to the probabilities
-    of their patterns. Each text is read once; of rows that repeat in full one may be fitted on, and all are counted.
+    fitted on about ``sample`` documents, chosen by a hash of id and text, to the probabilities of their patterns. Each text is read once; of rows that repeat in full one may be fitted on, and all are counted.
     ``labels`` (``doc_id``, ``toxic``) only serves to find the words that the decency labellers look for.
     """
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
@@ -353,8 +355,8 @@ def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     hashes = F.expr("nvl2(slots, hash, null) AS hash")
     votes = stored(seen.select(hashes, "slots", "values", *(x.vote for group in groups.values() for x in group)), "votes")
     counts = votes.groupBy(*names).count().collect()
-    found = votes.filter("slots is not null").dropDuplicates(["hash"]).orderBy("hash").limit(2 * sample).collect()
-    vectors = [(np.frombuffer(r.slots, np.int64), np.frombuffer(r["values"], np.float64)) for r in found]
+    found = sorted(votes.filter("slots is not null").dropDuplicates(["hash"]).collect(), key=operator.itemgetter("hash"))
+    vectors = [(np.frombuffer(r.slots, np.int32), np.frombuffer(r["values"], np.float32)) for r in found]
     fits, tables = {}, {}
     for question, group in groups.items():
         own = [x.name for x in group]
