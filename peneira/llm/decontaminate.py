@@ -11,28 +11,19 @@ from pyspark.sql import functions as F
 
 from peneira.llm.common import code_points, in_chunks, mixed, texts_of
 
-Q = 8  # characters of a q-gram
+Q = 8  # characters of a q-gram, fewer for passages that would not share one within their edits
 EDITS = 0.1  # edits allowed, as a share of the passage's characters
 BLOCK_CHARS = 8 << 20  # benchmark text that is searched for in one pass over the documents
-BITS = 22  # of the table that most positions are passed over with
+BITS = 22  # of the table that most positions are passed over with, at most
 
-_CACHE: dict[str, np.ndarray] = {}
 
-
-def _folded() -> np.ndarray:
+def folding() -> np.ndarray:
     """For each code point, the one it is compared as: lower case, and one blank for all white space."""
-    if "folded" not in _CACHE:
-        table = np.arange(0x110000, dtype=np.uint32)
-        for c in range(0x20000):
-            low = chr(c).lower()
-            table[c] = 32 if chr(c).isspace() else ord(low) if len(low) == 1 else c
-        _CACHE["folded"] = table
-    return _CACHE["folded"]
-
-
-def folded(text: str) -> np.ndarray:
-    """One number for each character, so that positions stay those of the text."""
-    return _folded()[code_points(text)]
+    table = np.arange(0x110000, dtype=np.uint32)
+    for c in range(0x20000):
+        low = chr(c).lower()
+        table[c] = 32 if chr(c).isspace() else ord(low) if len(low) == 1 else c
+    return table
 
 
 def gram_keys(points: np.ndarray, q: int = Q) -> np.ndarray:
@@ -48,28 +39,43 @@ def gram_keys(points: np.ndarray, q: int = Q) -> np.ndarray:
     return mixed(key, 0)
 
 
-def budget(size: int, q: int = Q, edits: float = EDITS) -> int:
-    """Edits allowed for a passage: the given share, but so many that a match must still share a q-gram."""
-    return min(int(size * edits), (size - q) // q)
+def budget(size: int, edits: float = EDITS) -> int:
+    """Edits allowed for a passage: the given share of its characters, rounded down."""
+    return int(size * edits)
+
+
+def gram_chars(size: int, edits: float = EDITS) -> int:
+    """Characters of a passage's q-grams: ``Q``, or so many that a match must share one, m - q + 1 - k q >= 1."""
+    return min(Q, size // (budget(size, edits) + 1))
+
 
+def make_index(items: list[tuple[int, str]], edits: float = EDITS) -> dict[str, object]:
+    """``parts``, one index for each size of q-gram that the passages need, and the ``folding`` of characters.
 
-def make_index(items: list[tuple[int, str]], q: int = Q, edits: float = EDITS) -> dict[str, np.ndarray] | None:
+    Passages that are empty or nothing but white space are in none.
+    """
+    table = folding()
+    by_size: dict[int, list[tuple[int, np.ndarray]]] = {}
+    for i, text in items:
+        points = table[code_points(text)]
+        if (points != 32).any():
+            by_size.setdefault(gram_chars(len(points), edits), []).append((i, points))
+    return {"folding": table, "parts": [_part(folds, q, edits) for q, folds in sorted(by_size.items())]}
+
+
+def _part(folds: list[tuple[int, np.ndarray]], q: int, edits: float) -> dict[str, np.ndarray]:
     """The passages' q-grams, sorted by key, and each passage's budget, need and characters.
 
     A text within k edits of a passage of m characters shares at least m - q + 1 - k q of
     its q-grams. Leaving out d positions lowers that bound by d, so up to half of it are left
     out, those whose q-gram is most frequent among the passages: fewer chance hits, no match lost.
     """
-    folds = [(i, folded(t)) for i, t in items]
-    folds = [(i, p) for i, p in folds if len(p) >= q]
-    if not folds:
-        return None
     grams = [gram_keys(p, q) for _, p in folds]
     _, which, often = np.unique(np.concatenate(grams), return_inverse=True, return_counts=True)
     often, at = often[which], 0
     keys, owner, position, need = [], [], [], []
     for k, ((_, points), own) in enumerate(zip(folds, grams, strict=True)):
-        bound = len(own) - budget(len(points), q, edits) * q
+        bound = len(own) - budget(len(points), edits) * q
         drop = bound // 2
         order = np.argsort(often[at : at + len(own)], kind="stable")
         kept = np.sort(order[: len(own) - drop])
@@ -80,16 +86,19 @@ def make_index(items: list[tuple[int, str]], q: int = Q, edits: float = EDITS) -
         need.append(bound - drop)
     keys, owner, position = map(np.concatenate, (keys, owner, position))
     order = np.argsort(keys, kind="stable")
-    seen = np.zeros(1 << BITS, bool)
-    seen[(keys >> np.uint64(64 - BITS)).astype(np.int64)] = True
+    bits = min(BITS, (64 * len(keys)).bit_length())
+    seen = np.zeros(1 << bits, bool)
+    seen[(keys >> np.uint64(64 - bits)).astype(np.int64)] = True
     sizes = np.array([len(p) for _, p in folds])
     return {
+        "q": q,
+        "bits": bits,
         "keys": keys[order],
         "owner": owner[order],
         "position": position[order],
         "seen": seen,
         "need": np.array(need),
-        "edits": np.array([budget(n, q, edits) for n in sizes]),
+        "edits": np.array([budget(n, edits) for n in sizes]),
         "sizes": sizes,
         "starts": np.cumsum(sizes) - sizes,
         "points": np.concatenate([p for _, p in folds]),
@@ -103,7 +112,7 @@ def candidate_bands(keys: np.ndarray, index: dict[str, np.ndarray]) -> list[tupl
     A match's q-grams lie on diagonals no further apart than its edits k. Bands of
     2 (k + 1) diagonals start at every multiple of k + 1, so each match is within one.
     """
-    at = np.flatnonzero(index["seen"][(keys >> np.uint64(64 - BITS)).astype(np.int64)])
+    at = np.flatnonzero(index["seen"][(keys >> np.uint64(64 - index["bits"])).astype(np.int64)])
     own = keys[at]
     low = np.searchsorted(index["keys"], own, "left")
     counts = np.searchsorted(index["keys"], own, "right") - low
@@ -175,38 +184,40 @@ def verify(text: np.ndarray, passage: np.ndarray, low: int, most: int) -> tuple[
     return end - int(np.flatnonzero(back == edits)[-1]), end, edits
 
 
-def search(texts: list[str], index: dict[str, np.ndarray]) -> list[list[tuple[int, int, int, int]]]:
+def search(texts: list[str], index: dict[str, object]) -> list[list[tuple[int, int, int, int]]]:
     """(item id, start, end, edits) of the passages in each text, by item and start.
 
     The texts are looked through as one; a candidate is verified in each text that it touches.
     """
     found: list[set] = [set() for _ in texts]
-    joined = folded("".join(texts))
+    joined = index["folding"][code_points("".join(texts))]
     ends = np.cumsum([len(t) for t in texts])
-    for k, low in candidate_bands(gram_keys(joined), index):
-        at, size, most = int(index["starts"][k]), int(index["sizes"][k]), int(index["edits"][k])
-        first = int(np.searchsorted(ends, max(low, 0), "right"))
-        last = int(np.searchsorted(ends, low + 2 * (most + 1) + size, "left"))
-        for n in range(first, min(last, len(texts) - 1) + 1):
-            start = int(ends[n]) - len(texts[n])
-            hit = verify(joined[start : int(ends[n])], index["points"][at : at + size], low - start, most)
-            if hit is not None:
-                found[n].add((int(index["ids"][k]), *hit))
+    for part in index["parts"]:
+        for k, low in candidate_bands(gram_keys(joined, part["q"]), part):
+            at, size, most = int(part["starts"][k]), int(part["sizes"][k]), int(part["edits"][k])
+            first = int(np.searchsorted(ends, max(low, 0), "right"))
+            last = int(np.searchsorted(ends, low + 2 * (most + 1) + size, "left"))
+            for n in range(first, min(last, len(texts) - 1) + 1):
+                start = int(ends[n]) - len(texts[n])
+                hit = verify(joined[start : int(ends[n])], part["points"][at : at + size], low - start, most)
+                if hit is not None:
+                    found[n].add((int(part["ids"][k]), *hit))
     return [sorted(f) for f in found]
 
 
-def _blocks(benchmark: DataFrame, item_id: str, text: str, block_chars: int) -> Iterator[dict[str, np.ndarray]]:
+def _blocks(benchmark: DataFrame, item_id: str, text: str, block_chars: int) -> Iterator[dict[str, object]]:
     """Indexes of at most about ``block_chars`` characters each; most benchmarks are one."""
     rows = benchmark.select(F.col(item_id).alias("i"), F.col(text).alias("t")).filter("i is not null and t is not null")
     total = rows.agg(F.sum(F.char_length("t"))).first()[0] or 0
     parts = -(-total // block_chars)
     for part in range(parts):
         own = rows.filter(F.pmod(F.xxhash64("i", "t"), F.lit(parts)) == part).collect()
-        if (index := make_index(sorted((r.i, r.t) for r in own))) is not None:
+        index = make_index(sorted((r.i, r.t) for r in own))
+        if index["parts"]:
             yield index
 
 
-def _search(index: dict[str, np.ndarray], column: pa.Array) -> Iterator[list[tuple[int, int, int, int]]]:
+def _search(index: dict[str, object], column: pa.Array) -> Iterator[list[tuple[int, int, int, int]]]:
     texts = [t.decode("utf-8", "replace") for t in texts_of(column)]
     for run in in_chunks([len(t) for t in texts]):
         yield from search(texts[run], index)
@@ -224,11 +235,12 @@ def passages_in(
     """A row for every benchmark passage that a document holds within the edit budget.
 
     Columns ``doc_id``, ``item_id``, ``start_char``, ``end_char`` (exclusive, in code points) and ``edits``.
-    Case and kind of white space are ignored. Whole passages are looked for, with up to
-    ``EDITS`` of their length in edits; shorter than ``Q`` characters, they hold no q-gram and
-    cannot be told from chance, so they and null passages match nothing, as do null and empty texts.
-    Repeated documents and passages each give their own rows. The index is broadcast in
-    blocks of bounded size, each with a pass of its own over the documents; there is no shuffle.
+    Case and kind of white space are ignored. Whole passages of any length are looked for, with up to
+    ``EDITS`` of their characters, rounded down, in edits: those of fewer than 10 characters as they are,
+    wherever they stand. Null passages, those of white space alone and those without an id match nothing, as do null
+    and empty texts. Texts are looked through whole, however long. A repeated document gives its own rows; a repeated
+    passage of one id gives none twice. Other columns are not read, whatever their names. The index is
+    broadcast in blocks of bounded size, each with a pass of its own over the documents; there is no shuffle.
     """
     spark = docs.sparkSession
     kind = docs.schema[doc_id].dataType.simpleString()
@@ -258,7 +270,10 @@ def passages_in(
 def without_passages(
     docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text"
 ) -> DataFrame:
-    """The rows that hold no benchmark passage, columns unchanged."""
+    """The rows that hold no benchmark passage, as ``passages_in`` finds them; columns unchanged, whatever their names.
+
+    Null and empty texts hold none. Repeated rows stay or go together.
+    """
     place = docs.columns.index(text)
     for index in _blocks(benchmark, item_id, item_text, BLOCK_CHARS):
         shared = docs.sparkSession.sparkContext.broadcast(index)

@@ -69,6 +69,33 @@ def test_random_texts_agree_with_all_alignments(items):
         assert {h[0] for h in dc.search([text], index)[0]} == wanted
 
 
+@pytest.mark.parametrize("size", [1, 2, 5, 7, 8, 9, 10, 13, 15, 19, 20, 23, 29, 30, 31, 39])
+def test_short_passages(size):
+    """Verbatim below ten characters, then with a tenth of edits, each as the alignment of everything says."""
+    dice = random.Random(size)
+    items = [(k, "".join(dice.choice("abcdefg ") for _ in range(size - 1)) + "x") for k in range(6)]
+    index, most = dc.make_index(items), size // 10
+    assert dc.budget(size) == most
+    for k in range(80):
+        near = changed(dice, items[k % 6][1], dice.randint(0, most + 1))
+        text = "".join(dice.choice("abcdefg ") for _ in range(dice.randint(0, 40))) + near.upper() + "gfedcba"[: k % 8]
+        hits = dc.search([text], index)[0]
+        assert {h[0] for h in hits} == {i for i, p in items if best_place(p, text.lower()) <= most}
+        for i, start, end, n in hits:
+            assert n == edits(items[i][1], text[start:end].lower()) <= most
+            assert most or text[start:end].lower() == items[i][1]
+
+
+def test_every_place_of_a_verbatim_passage():
+    index = dc.make_index([(1, "aa"), (2, "Short\tIt"), (3, " \n"), (4, "")])
+    assert dc.search(["aaaa short it", "a", "a short it"], index) == [
+        [(1, 0, 2, 0), (1, 1, 3, 0), (1, 2, 4, 0), (2, 5, 13, 0)],
+        [],
+        [(2, 2, 10, 0)],
+    ]
+    assert dc.make_index([(3, " \n"), (4, "")])["parts"] == []
+
+
 def test_texts_are_kept_apart(items):
     passage = items[0][1]
     half = len(passage) // 2
@@ -99,12 +126,15 @@ def test_documents(spark, documents, clashing, no_documents, items):
     dice = random.Random(15)
     planted = [(500 + i, sentence(dice, "fr", 20) + " " + t + " " + sentence(dice, "fr", 20), None, None, None) for i, t in items]
     docs = documents.unionByName(spark.createDataFrame(planted, documents.schema))
-    table = [*items, (90, None), (91, ""), (92, "short"), (None, "a passage without an id, as long as others"), *items[:1]]
+    table = [*items, (90, None), (91, ""), (92, "sh~rt"), (93, " "), (None, "a passage without an id, as long as others"), *items[:1]]
     benchmark = spark.createDataFrame(table, "item_id bigint, text string")
     found = dc.passages_in(docs, benchmark)
     assert {(r.doc_id, r.item_id) for r in found.collect()} == {(500 + i, i) for i, _ in items}
     assert found.filter("edits = 0").count() == len(items)
     assert bag(dc.passages_in(docs, benchmark, block_chars=300)) == bag(found)  # several blocks
+    short = spark.createDataFrame([(92, "<|ENDOF"), (93, " ")], benchmark.schema)
+    assert [(r.doc_id, r.item_id, r.edits) for r in dc.passages_in(docs, short).collect()] == [(196, 92, 0)]
+    assert dc.without_passages(docs, short).count() == docs.count() - 1
     kept = dc.without_passages(docs, benchmark)
     assert kept.columns == docs.columns and bag(kept) == bag(documents)
     assert dc.passages_in(clashing, benchmark).count() == 0
