@@ -21,7 +21,6 @@ WEIGHT = 5.0  # of the single-word probability among the counts after a word
 CODES = 255  # levels that probabilities are quantised to; one more code says that a word never follows
 BUNDLE_TOKENS = 1 << 21  # tokens whose bigrams are counted together before they are sent off
 SHARD_BYTES = 8 << 20  # of text for each shard of the trie
-MOST_SLICES = 256  # that the successors of one word are spread over at most
 WORD_BITS = 48  # of a successor's hash
 
 
@@ -236,7 +235,8 @@ def frequent_words(docs: DataFrame, shards: int) -> dict[int, int]:
     """Words that are more than a quarter of a shard's fair part of all tokens, with the slices for their successors.
 
     Each task reports the words that reach that part of its own batch, at most four times the shards,
-    so the list is bounded by the number of shards. It decides on where counts are kept, not on any result.
+    so the list is bounded by the number of shards. A word has slices in proportion to its part of all tokens, up to
+    all shards. The list decides on where counts are kept, not on any result.
     """
     least = 1 / (4 * shards)
 
@@ -260,22 +260,22 @@ def frequent_words(docs: DataFrame, shards: int) -> dict[int, int]:
     found = stored(found, "frequent")
     total = found.filter("all").agg(F.sum("n")).first()[0] or 0
     rows = found.filter(~F.col("all") & (F.col("n") >= least * total)).collect() if total else []
-    return {r.word & (1 << 64) - 1: min(MOST_SLICES, 1 << (4 * shards * r.n // total).bit_length()) for r in rows}
+    return {r.word & (1 << 64) - 1: 1 << (4 * shards * r.n // total).bit_length() for r in rows}
 
 
 def _places(
-    v: np.ndarray, w: np.ndarray, home: np.ndarray, byte: np.ndarray, slices: np.ndarray, shards: int
+    v: np.ndarray, w: np.ndarray, home: np.ndarray, part: np.ndarray, slices: np.ndarray, shards: int
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Shard of each bigram (v, w), and the (context, shard) entries, sorted by shard, then context.
 
     A word's bigrams are kept in its home shard, those of a frequent word in as many shards as it has slices,
-    by a byte of the successor's hash.
+    by 32 bits of the successor's hash.
     """
-    shard = (home[v] + byte[w] % slices[v]) % shards
+    shard = (home[v] + part[w] % slices[v]) % shards
     many = np.flatnonzero(slices > 1)
     one = np.flatnonzero(slices == 1)
-    local = np.concatenate([one, *(np.full(min(int(slices[m]), shards), m) for m in many)])
-    at = np.concatenate([home[one], *((home[m] + np.arange(min(int(slices[m]), shards))) % shards for m in many)])
+    local = np.concatenate([one, *(np.full(int(slices[m]), m) for m in many)])
+    at = np.concatenate([home[one], *((home[m] + np.arange(int(slices[m]))) % shards for m in many)])
     order = np.lexsort((local, at))
     return shard, local[order], at[order]
 
@@ -304,7 +304,7 @@ def _bundle(
     ids = np.concatenate(texts).astype(np.int64)
     hashes = np.fromiter(map(word_hash, known), np.uint64, len(known))
     home = (hashes % np.uint64(shards)).astype(np.int64)
-    byte = (hashes >> np.uint64(40)).astype(np.int64) % MOST_SLICES
+    part = (hashes >> np.uint64(32)).astype(np.int64)
     slices = np.array([min(frequent.get(h, 1), shards) for h in hashes.tolist()], np.int64)
     sizes = np.array([len(w) for w in texts], np.int64)
     trained = np.repeat(~np.array(held, bool), sizes)
@@ -313,7 +313,7 @@ def _bundle(
     pairs, at = np.unique(pair, return_inverse=True)
     count = np.bincount(at, trained, minlength=len(pairs)).astype(np.int64)
     pv, pw = pairs // len(hashes), pairs % len(hashes)
-    shard, entry, entry_shard = _places(pv, pw, home, byte, slices, shards)
+    shard, entry, entry_shard = _places(pv, pw, home, part, slices, shards)
     by_shard = np.argsort(shard, kind="stable")
     cuts = np.searchsorted(shard[by_shard], np.arange(shards + 1))
     entry_cuts = np.searchsorted(entry_shard, np.arange(shards + 1))
@@ -324,8 +324,8 @@ def _bundle(
         if len(own):
             follow = np.searchsorted(pv[places], own, "right") - np.searchsorted(pv[places], own, "left")
             rows.append((s, _pack_parts([hashes[own].tobytes(), _packed(follow), tail[pw[places]].tobytes(), _packed(count[places])])))
-    small = np.stack([byte, slices - 1]).astype(np.uint8)
-    documents = _pack_parts([_packed(ids), _packed(sizes), _packed(home), small.tobytes(), struct.pack("<q", known[END])])
+    fixed = [part.astype("<u4").tobytes(), _packed(slices - 1), struct.pack("<q", known[END])]
+    documents = _pack_parts([_packed(ids), _packed(sizes), _packed(home), *fixed])
     n = len(rows)
     return pa.RecordBatch.from_arrays(
         [
@@ -467,14 +467,13 @@ def _score(group: pa.Table, tokens: int, words: int, shards: int) -> dict[str, o
     """The documents of one bundle with their scores, from the answers of all shards."""
     rows = group.to_pylist()
     documents = next(r for r in rows if r["shard"] < 0)
-    ids, sizes, home, small, end = _parts(documents["data"])
-    ids, sizes, home = _unpacked(ids), _unpacked(sizes), _unpacked(home)
-    byte, slices = np.frombuffer(small, np.uint8).reshape(2, -1).astype(np.int64)
-    slices = slices + 1
+    ids, sizes, home, hashed, slices, end = _parts(documents["data"])
+    ids, sizes, home, slices = _unpacked(ids), _unpacked(sizes), _unpacked(home), _unpacked(slices) + 1
+    hashed = np.frombuffer(hashed, "<u4").astype(np.int64)
     v, w = _bigrams(ids, struct.unpack("<q", end)[0])
     pairs, at = np.unique(v * len(home) + w, return_inverse=True)
     pv, pw = pairs // len(home), pairs % len(home)
-    shard, entry, entry_shard = _places(pv, pw, home, byte, slices, shards)
+    shard, entry, entry_shard = _places(pv, pw, home, hashed, slices, shards)
     by_shard = np.argsort(shard, kind="stable")
     cuts = np.searchsorted(shard[by_shard], np.arange(shards + 1))
     entry_cuts = np.searchsorted(entry_shard, np.arange(shards + 1))

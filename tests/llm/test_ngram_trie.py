@@ -99,6 +99,18 @@ def test_scores(documents, clashing, rows, monkeypatch, bundle, shard):
         assert a[6] == pytest.approx(b[6], abs=0.06 * b[2])  # eight bits a probability
 
 
+def test_frequent_words_have_slices_in_proportion(spark):
+    """Without an upper bound but the shards, so that no shard holds more than its part of a frequent word."""
+    text = "often " * 900 + " ".join(f"w{k}" for k in range(100))
+    docs = spark.createDataFrame([(k, text) for k in range(4)], "doc_id bigint, text string")
+    found = nt.frequent_words(docs, 1000)
+    assert found[nt.word_hash(b"often")] == 4096  # 900 of 1,001 tokens: 3,596 quarters of a shard
+    home, part = np.zeros(5000, np.int64), np.arange(5000) * 7919 % (1 << 32)
+    slices = np.r_[1000, np.ones(4999, np.int64)]
+    shard, _, _ = nt._places(np.zeros(5000, np.int64), np.arange(5000), home, part, slices, 1000)
+    assert np.bincount(shard, minlength=1000).tolist() == [5] * 1000
+
+
 def test_probabilities_add_up(spark):
     """Over all words and the unknown one, after a word that has been seen."""
     docs = spark.createDataFrame([(i, "a b a c") for i in range(8)], "doc_id bigint, text string")
