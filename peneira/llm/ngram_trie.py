@@ -269,7 +269,7 @@ def _places(
     """Shard of each bigram (v, w), and the (context, shard) entries, sorted by shard, then context.
 
     A word's bigrams are kept in its home shard, those of a frequent word in as many shards as it has slices,
-    by 32 bits of the successor's hash.
+    by as many bytes of the successor's hash as number all shards.
     """
     shard = (home[v] + part[w] % slices[v]) % shards
     many = np.flatnonzero(slices > 1)
@@ -304,7 +304,8 @@ def _bundle(
     ids = np.concatenate(texts).astype(np.int64)
     hashes = np.fromiter(map(word_hash, known), np.uint64, len(known))
     home = (hashes % np.uint64(shards)).astype(np.int64)
-    part = (hashes >> np.uint64(32)).astype(np.int64)
+    width = np.min_scalar_type(shards - 1)
+    part = (hashes >> np.uint64(32)).astype(width).astype(np.int64)
     slices = np.array([min(frequent.get(h, 1), shards) for h in hashes.tolist()], np.int64)
     sizes = np.array([len(w) for w in texts], np.int64)
     trained = np.repeat(~np.array(held, bool), sizes)
@@ -324,7 +325,7 @@ def _bundle(
         if len(own):
             follow = np.searchsorted(pv[places], own, "right") - np.searchsorted(pv[places], own, "left")
             rows.append((s, _pack_parts([hashes[own].tobytes(), _packed(follow), tail[pw[places]].tobytes(), _packed(count[places])])))
-    fixed = [part.astype("<u4").tobytes(), _packed(slices - 1), struct.pack("<q", known[END])]
+    fixed = [np.stack([part, slices - 1]).astype(width).tobytes(), struct.pack("<q", known[END])]
     documents = _pack_parts([_packed(ids), _packed(sizes), _packed(home), *fixed])
     n = len(rows)
     return pa.RecordBatch.from_arrays(
@@ -467,9 +468,10 @@ def _score(group: pa.Table, tokens: int, words: int, shards: int) -> dict[str, o
     """The documents of one bundle with their scores, from the answers of all shards."""
     rows = group.to_pylist()
     documents = next(r for r in rows if r["shard"] < 0)
-    ids, sizes, home, hashed, slices, end = _parts(documents["data"])
-    ids, sizes, home, slices = _unpacked(ids), _unpacked(sizes), _unpacked(home), _unpacked(slices) + 1
-    hashed = np.frombuffer(hashed, "<u4").astype(np.int64)
+    ids, sizes, home, small, end = _parts(documents["data"])
+    ids, sizes, home = _unpacked(ids), _unpacked(sizes), _unpacked(home)
+    hashed, slices = np.frombuffer(small, np.min_scalar_type(shards - 1)).reshape(2, -1).astype(np.int64)
+    slices = slices + 1
     v, w = _bigrams(ids, struct.unpack("<q", end)[0])
     pairs, at = np.unique(v * len(home) + w, return_inverse=True)
     pv, pw = pairs // len(home), pairs % len(home)
