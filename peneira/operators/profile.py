@@ -3,17 +3,21 @@
 from __future__ import annotations
 
 import functools
+import operator
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from peneira.functions.names import named
 from peneira.sinks.files import write_csv, write_json, write_parquet
 from peneira.sources.delimited import read_csv
 from peneira.sources.structured import inline_rows, read_json, read_parquet
 
+ROWS_PER_FILE = 250_000  # at most, in the files that ``compare_formats`` writes
+
 
 def table_profile(df: DataFrame, exact: bool = False) -> DataFrame:
     """Name, position, type, nulls and distinct values of each column, and the number of rows.
@@ -51,12 +55,19 @@ def read_format(spark: SparkSession, path: str, name: str, schema: StructType) -
     return read_json(spark, path, schema) if name == "json" else read_parquet(spark, path, schema)
 
 
-def compare_formats(df: DataFrame, folder: str) -> DataFrame:
+def compare_formats(
+    df: DataFrame, folder: str, contents: Sequence[Column] = (), rows_per_file: int = ROWS_PER_FILE
+) -> DataFrame:
     """Write ``df`` as Parquet, CSV and JSON, plain and gzip; measure each.
 
     The result has, per format, the files, their bytes and the seconds of a
     write and of a scan of all rows and columns. ``df`` is computed once, for
-    the plain Parquet files; the others are written from those.
+    the plain Parquet files; the others are written from those. With ``contents``,
+    aggregates of the rows, the scan computes them on its way and leaves them in Parquet
+    files, ``<folder>/contents-<format>-<compression>``, so that no file is read twice for them.
+
+    No file has more than ``rows_per_file`` rows: a gzip text file is read by one task, and
+    input in a few large pieces would else keep all the writes and scans to as few tasks.
     """
     spark, schema = df.sparkSession, df.schema
     write: dict[str, Callable] = {
@@ -64,15 +75,21 @@ def compare_formats(df: DataFrame, folder: str) -> DataFrame:
         "csv": functools.partial(write_csv, header=True),
         "json": write_json,
     }
+    # The values of every column are counted, or the scan would leave out those that no aggregate needs.
+    n_values = functools.reduce(operator.add, [F.count(named(c)) for c in df.columns], F.lit(0))
     rows, measured = df, []
     for name in write:
         for compression in (None, "gzip"):
-            path = f"{folder}/{name}-{compression or 'default'}"
+            label = f"{name}-{compression or 'default'}"
+            path = f"{folder}/{label}"
             started = time.perf_counter()
-            write[name](rows, path, compression=compression)
+            write[name](rows, path, compression=compression, maxRecordsPerFile=rows_per_file)
             written = time.perf_counter()
             copy = read_format(spark, path, name, schema)
-            copy.write.format("noop").mode("overwrite").save()
+            if contents:
+                write_parquet(copy.agg(*contents, n_values.alias("n_values")), f"{folder}/contents-{label}")
+            else:
+                copy.write.format("noop").mode("overwrite").save()
             scanned = time.perf_counter()
             rows = copy if rows is df else rows
             files = spark.read.format("binaryFile").load(path)

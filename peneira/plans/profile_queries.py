@@ -60,17 +60,20 @@ def prf_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 def prf_format_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the files of each format hold, read back; their bytes and seconds are for the bench."""
     lines, folder = table(spark, sf_dir, "lineitem"), new_folder(spark, "formats")
-    compare_formats(lines, folder)
     contents = [
-        read_format(spark, f"{folder}/{name}-{compression}", name, lines.schema).agg(
-            F.lit(name).alias("format"),
-            F.lit(compression).alias("compression"),
-            F.count("*").alias("n_rows"),
-            F.sum("l_orderkey").alias("keys"),
-            F.sum("l_quantity").alias("quantity"),
-            F.count_distinct("l_returnflag").alias("flags"),
-        )
-        for name in ("parquet", "csv", "json")
-        for compression in ("default", "gzip")
+        F.count("*").alias("n_rows"),
+        F.sum("l_orderkey").alias("keys"),
+        F.sum("l_quantity").alias("quantity"),
+        F.count_distinct("l_returnflag").alias("flags"),
     ]
-    return flatten(contents)
+    compare_formats(lines, folder, contents)
+    schema = lines.agg(*contents).schema
+    return flatten(
+        [
+            read_format(spark, f"{folder}/contents-{name}-{compression}", "parquet", schema).select(
+                F.lit(name).alias("format"), F.lit(compression).alias("compression"), *schema.names
+            )
+            for name in ("parquet", "csv", "json")
+            for compression in ("default", "gzip")
+        ]
+    )

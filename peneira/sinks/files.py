@@ -69,9 +69,9 @@ def write_csv(
         place.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).create(place, True).close()
 
 
-def write_json(df: DataFrame, path: str, compression: str | None = None) -> None:
+def write_json(df: DataFrame, path: str, compression: str | None = None, **options: object) -> None:
     """JSON lines. Null fields are left out, so read back with a schema."""
-    writer = df.write.mode("overwrite").options(**MICROSECONDS)
+    writer = df.write.mode("overwrite").options(**{**MICROSECONDS, **options})
     (writer if compression is None else writer.option("compression", compression)).json(path)
 
 

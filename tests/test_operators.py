@@ -37,7 +37,7 @@ from peneira.operators.aggregates import (
 from peneira.operators import combine
 from peneira.operators.combine import align, co_group, flatten, tagged_rows
 from peneira.operators.nulls import cast_then_fill, fill, fill_then_cast, with_defaults
-from peneira.operators.profile import table_profile
+from peneira.operators.profile import compare_formats, read_format, table_profile
 from peneira.operators.projections import at, cast_with_rejects, explode_tokens, key_value, rename, with_cast
 from peneira.sources import inline_rows
 
@@ -227,6 +227,27 @@ def test_profile(spark):
     assert values(table_profile(df)) == expected
 
 
+def test_format_contents_come_from_the_measured_scan(spark, folder):
+    rows = [(1, "a", 0.5), (1, "a", 0.5), (2, None, None), (None, "", -1.5), (7, "\\N", 2.0), (8, "é,\"x", 3.0)]
+    df = inline_rows(spark, rows, "`odd key` long, t string, v double").coalesce(1)
+    contents = [
+        F.count("*").alias("n"),
+        F.sum("`odd key`").alias("keys"),
+        F.sum("v").alias("v"),
+        F.count_distinct("t").alias("t"),
+        F.max("t").alias("last"),
+    ]
+    measured = compare_formats(df, folder, contents, rows_per_file=2).collect()
+    assert {(r.format, r.compression): r.n_files for r in measured} == {
+        (name, compression): 3 for name in ("parquet", "csv", "json") for compression in ("default", "gzip")
+    }
+    for r in measured:
+        found = spark.read.parquet(f"{folder}/contents-{r.format}-{r.compression}")
+        assert values(found) == [(6, 19, 4.5, 4, "é,\"x", 5 + 5 + 5)]
+        copy = read_format(spark, f"{folder}/{r.format}-{r.compression}", r.format, df.schema)
+        assert values(copy) == values(df)
+
+
 def test_flatten_keeps_duplicates_and_matches_by_name(spark):
     a = inline_rows(spark, [(1, "x")], "i int, t string")
     b = inline_rows(spark, [("x", 1), ("y", 2)], "t string, i int")

@@ -12,7 +12,7 @@ from peneira.operators.projections import key_value
 from peneira.plans.inputs import orders_n, table
 from peneira.plans.registry import load_all
 from peneira.sinks import write_partitioned
-from peneira.sources import read_partition
+from peneira.sources import inline_rows, read_partition
 from plan import count, physical, settings
 
 QUERIES = {name: q.run for name, q in load_all().items()}
@@ -54,6 +54,19 @@ def test_null_profile_is_one_scan(spark, sf_dir):
     assert count(result, "Exchange") == 1
 
 
+def test_formats_are_read_once(spark, folder):
+    lines = "l_orderkey long, l_quantity double, l_returnflag string, l_shipdate timestamp"
+    rows = [(1, 2.0, "A", None), (1, 2.0, "A", None), (None, None, None, None), (5, 1.5, "R", None)]
+    inline_rows(spark, rows, lines).write.parquet(f"{folder}/lineitem.parquet")
+    result = QUERIES["prf_format_bytes"](spark, folder)
+    # The rows were read back by the scan that was timed; the result has only its aggregates.
+    assert "FileScan csv" not in physical(result) and "FileScan json" not in physical(result)
+    assert count(result, "FileScan parquet") == 6
+    assert sorted(result.collect()) == [
+        (name, compression, 4, 7, 5.5, 2) for name in ("csv", "json", "parquet") for compression in ("default", "gzip")
+    ]
+
+
 def test_pushed_filters(spark, sf_dir):
     for name, pushed in [
         ("flt_text_eq", "EqualTo(o_orderstatus,F)"),
