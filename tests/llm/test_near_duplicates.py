@@ -8,6 +8,8 @@ import numpy as np
 import pytest
 import xxhash
 from conftest import bag
+from plan import physical
+from pyspark.sql import functions as F
 
 from peneira.llm import near_duplicates as nd
 from peneira.llm.components import least_reachable
@@ -69,6 +71,15 @@ def test_links_connect_what_all_pairs_connect(spark, chunk):
     assert {v: found.get(v, v) for v in signed} == brute_components(signed, 4)
 
 
+def test_placed_fingerprints_are_never_broadcast(spark, folder):
+    spark.range(3000).select((F.col("id") % 1000).alias("fp")).distinct().write.parquet(folder + "/fps")
+    links = nd.close_fingerprints(spark.read.parquet(folder + "/fps"))
+    for _ in range(2):  # as planned, and as run
+        assert "SortMergeJoin" in physical(links) and "Broadcast" not in physical(links)
+        assert links.collect()
+    assert "isFinalPlan=true" in physical(links)
+
+
 def test_spanning_links_are_few():
     values = np.arange(4096, dtype=np.uint64) & np.uint64(15)
     left, right = nd.spanning_links(values, 4)
