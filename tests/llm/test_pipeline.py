@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 from conftest import bag
+from plan import physical
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_points
@@ -17,6 +18,14 @@ def test_registered():
     assert corpus_pipeline.ORACLE_SQL is None
 
 
+def test_near_dedup_broadcasts_no_exploded_rows(spark, documents, sf_dir, monkeypatch):
+    links = []
+    found = near_duplicates.least_reachable
+    monkeypatch.setattr(near_duplicates, "least_reachable", lambda df: links.append(df) or found(df))
+    corpus_pipeline.near_dedup(spark, documents, sf_dir)
+    assert len(links) == 1 and "SortMergeJoin" in physical(links[0]) and "Broadcast" not in physical(links[0])
+
+
 def test_every_stage_takes_odd_rows_and_gives_the_columns_of_documents(spark, documents, no_documents, clashing, sf_dir):
     for name, stage in corpus_pipeline.STAGES[:-1]:
         kept = stage(spark, documents, sf_dir)
