@@ -6,12 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from peneira.operators.combine import flatten
-from peneira.operators.profile import compare_formats, read_format, table_profile
+from peneira.operators.profile import ROWS_PER_FILE, compare_formats, read_format, table_profile
 from peneira.plans.inputs import ORDERS_N, orders_n, table
 from peneira.plans.registry import query
 from peneira.workspace import new_folder
 
 FEW = 100  # distinct values up to which the estimate is exact
+ROWS_AT_ONCE = 12_000_000  # of a format that are on disk together, unless there are more cores than files of them
 
 
 @query(
@@ -60,19 +61,26 @@ def prf_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 def prf_format_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the files of each format hold, read back; their bytes and seconds are for the bench."""
     lines, folder = table(spark, sf_dir, "lineitem"), new_folder(spark, "formats")
-    contents = [
+    parts = [
         F.count("*").alias("n_rows"),
         F.sum("l_orderkey").alias("keys"),
         F.sum("l_quantity").alias("quantity"),
-        F.count_distinct("l_returnflag").alias("flags"),
     ]
-    compare_formats(lines, folder, contents)
-    schema = lines.agg(*contents).schema
+    by = ["l_returnflag"]
+    at_once = max(ROWS_AT_ONCE, ROWS_PER_FILE * spark.sparkContext.defaultParallelism)
+    compare_formats(lines, folder, parts, by=by, rows_at_once=at_once)
+    schema = lines.groupBy(*by).agg(*parts).schema
+    whole = [
+        F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n_rows"),
+        F.sum("keys").alias("keys"),
+        F.sum("quantity").alias("quantity"),
+        F.count_distinct(*by).alias("flags"),
+    ]
     return flatten(
         [
-            read_format(spark, f"{folder}/contents-{name}-{compression}", "parquet", schema).select(
-                F.lit(name).alias("format"), F.lit(compression).alias("compression"), *schema.names
-            )
+            read_format(spark, f"{folder}/contents-{name}-{compression}", "parquet", schema)
+            .agg(*whole)
+            .select(F.lit(name).alias("format"), F.lit(compression).alias("compression"), "*")
             for name in ("parquet", "csv", "json")
             for compression in ("default", "gzip")
         ]

@@ -40,12 +40,16 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/peneira/{app}/{label}-{uuid.uuid4().hex}"
 
 
+def drop_folder(spark: SparkSession, path: str) -> bool:
+    """Delete a folder and all that is in it; False if there was none."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def drop_folders(spark: SparkSession) -> bool:
     """Delete all folders this application has made below the shared root; False if there were none.
 
     For when its results are published: DataFrames that read them fail afterwards.
     """
     app = spark.conf.get("spark.app.id", "app")
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{shared_root(spark)}/peneira/{app}")
-    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return drop_folder(spark, f"{shared_root(spark)}/peneira/{app}")

@@ -6,6 +6,7 @@ import math
 import random
 from collections import defaultdict
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -39,6 +40,7 @@ from peneira.operators.combine import align, co_group, flatten, tagged_rows
 from peneira.operators.nulls import cast_then_fill, fill, fill_then_cast, with_defaults
 from peneira.operators.profile import compare_formats, read_format, table_profile
 from peneira.operators.projections import at, cast_with_rejects, explode_tokens, key_value, rename, with_cast
+from peneira.sinks import write_json
 from peneira.sources import inline_rows
 
 
@@ -248,6 +250,49 @@ def test_format_contents_come_from_the_measured_scan(spark, folder):
         assert values(copy) == values(df)
 
 
+def test_formats_in_portions(spark, folder, monkeypatch):
+    rows = [(1, "a", 0.5), (1, "a", 0.5), (2, None, None), (None, "", -1.5), (7, "\\N", 2.0), (8, "é,\"x", 3.0)]
+    df = inline_rows(spark, rows, "`odd key` long, t string, v double").coalesce(1)
+    there = []
+
+    def held(label: str) -> int:
+        return sum(spark.read.text(str(p.parent)).count() for p in Path(folder).glob(f"{label}/*/_SUCCESS"))
+
+    def watched(df, path, **how):
+        write_json(df, path, **how)
+        there.append((held("json-default"), held("json-gzip"), held("csv-default"), held("csv-gzip")))
+
+    monkeypatch.setattr("peneira.operators.profile.write_json", watched)
+    contents = [F.count("*").alias("n"), F.sum("`odd key`").alias("keys"), F.max("v").alias("v")]
+    measured = compare_formats(df, folder, contents, rows_per_file=2, by=["t"], rows_at_once=4).collect()
+    assert there == [(4, 0, 0, 0), (2, 0, 0, 0), (0, 4, 0, 0), (0, 2, 0, 0)]
+    assert {(r.format, r.compression): r.n_files for r in measured} == {
+        (name, compression): 3 for name in ("parquet", "csv", "json") for compression in ("default", "gzip")
+    }
+    assert all(r.n_bytes > 0 and r.write_seconds > 0 and r.scan_seconds > 0 for r in measured)
+    for r in measured:
+        found = spark.read.parquet(f"{folder}/contents-{r.format}-{r.compression}")
+        assert values(found) == sorted(
+            [("a", 2, 2, 0.5, 6), (None, 1, 2, None, 1), ("", 1, None, -1.5, 2), ("\\N", 1, 7, 2.0, 3), ("é,\"x", 1, 8, 3.0, 3)],
+            key=repr,
+        )
+    assert {p.name.split("-")[0] for p in Path(folder).iterdir()} == {"contents"}  # the rest is gone
+    for most in (1, 100):  # a file at least; all of them
+        again = compare_formats(df, f"{folder}/{most}", contents[:1], rows_per_file=2, rows_at_once=most).collect()
+        assert [r.n_files for r in again] == [3] * 6
+        for r in again:
+            found = spark.read.parquet(f"{folder}/{most}/contents-{r.format}-{r.compression}")
+            plain = (r.format, r.compression) == ("parquet", "default")
+            assert [x.n for x in found.collect()] == ([6] if most == 100 or plain else [2, 2, 2])
+
+
+def test_formats_of_no_rows_in_portions(spark, folder):
+    df = inline_rows(spark, [], "t string, v double")
+    compare_formats(df, folder, [F.count("*").alias("n")], rows_at_once=4)
+    for label in ("parquet-gzip", "csv-default", "json-gzip"):
+        assert values(spark.read.parquet(f"{folder}/contents-{label}")) == [(0, 0)]
+
+
 def test_flatten_keeps_duplicates_and_matches_by_name(spark):
     a = inline_rows(spark, [(1, "x")], "i int, t string")
     b = inline_rows(spark, [("x", 1), ("y", 2)], "t string, i int")

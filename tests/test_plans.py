@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -67,6 +69,18 @@ def test_formats_are_read_once(spark, folder):
     ]
 
 
+def test_formats_leave_only_what_the_result_reads(spark, folder, monkeypatch):
+    lines = "l_orderkey long, l_quantity double, l_returnflag string"
+    rows = [(k, float(k % 50), "ANR"[k % 3]) for k in range(3000)]
+    inline_rows(spark, rows, lines).write.parquet(f"{folder}/lineitem.parquet")
+    monkeypatch.setattr("peneira.plans.profile_queries.new_folder", lambda *_: f"{folder}/formats")
+    result = QUERIES["prf_format_bytes"](spark, folder)
+    assert sorted(p.name for p in Path(folder, "formats").iterdir()) == sorted(
+        f"contents-{name}-{compression}" for name in ("csv", "json", "parquet") for compression in ("default", "gzip")
+    )
+    assert {tuple(r)[2:] for r in result.collect()} == {(3000, sum(range(3000)), float(sum(k % 50 for k in range(3000))), 3)}
+
+
 def test_pushed_filters(spark, sf_dir):
     for name, pushed in [
         ("flt_text_eq", "EqualTo(o_orderstatus,F)"),
